@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from turnloom.llm.runs import speaker_runs
+from turnloom.llm.sentences import split_sentences
 from turnloom.llm.turns import clean_dialogues, transcript_turns
 from turnloom.runtime import read
 
@@ -25,4 +27,31 @@ def p7_utterances(spark: SparkSession, sf: str) -> DataFrame:
     return _p7(spark, sf).select("src_table", "row_key", "turn_no", "speaker", "utterance")
 
 
-QUERIES = {f.__name__: f for f in (p7_found, p7_utterances)}
+def _p2(spark: SparkSession, sf: str) -> DataFrame:
+    g = read(spark, sf, "grouped").filter("punctuation_source is not null").select("group_id", "plain_text")
+    s = read(spark, sf, "segments").select("segment_id", "text")
+    a = split_sentences(g, "group_id", "plain_text").withColumn("src_table", F.lit("grouped"))
+    return a.unionByName(split_sentences(s, "segment_id", "text").withColumn("src_table", F.lit("segments")))
+
+
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _p2(spark, sf).select("src_table", "row_key", "start_pos", "n_chars")
+
+
+def p2_sentences(spark: SparkSession, sf: str) -> DataFrame:
+    return _p2(spark, sf).select("src_table", "row_key", "start_pos", "sentence")
+
+
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    cols = ("dialogue_id", "group_id", "order_index", "speaker", "broadcast_time", "loaded_at")
+    runs = speaker_runs(read(spark, sf, "dialogues").select(*cols))
+    return runs.filter("n_turns >= 2").drop("speaker_key")
+
+
+def p6_turns(spark: SparkSession, sf: str) -> DataFrame:
+    """Every run with the spelling that stands for it, single dialogues included."""
+    cols = ("dialogue_id", "group_id", "order_index", "speaker", "broadcast_time", "loaded_at")
+    return speaker_runs(read(spark, sf, "dialogues").select(*cols))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_sentences, p6_found, p6_turns, p7_found, p7_utterances)}

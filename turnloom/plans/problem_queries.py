@@ -8,16 +8,14 @@ from pyspark.sql import functions as F
 from turnloom.operators.rowcheck import clean_rows, row_errors
 from turnloom.operators.sessions import sessions
 from turnloom.operators.timestamps import clip_moments
-from turnloom.runtime import read
+from turnloom.runtime import read, spread
 
 SESSION_GAP_S = 300
 
 
 def _moments(spark: SparkSession, sf: str) -> DataFrame:
     clips = read(spark, sf, "clips").select("clip_id", "broadcast_date", "broadcast_time", "channel_name")
-    channels = read(spark, sf, "channels")
-    found = clip_moments(clips, channels)
-    return found
+    return clip_moments(spread(clips), read(spark, sf, "channels"))
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -31,25 +29,24 @@ def p3_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
-    clips = read(spark, sf, "clips").select("clip_id", "broadcast_date", "broadcast_time", "channel_name")
-    m = clip_moments(clips, read(spark, sf, "channels")).filter("n_moments = 1").select("channel_id", "utc")
+    m = _moments(spark, sf).filter("n_moments = 1").select("channel_id", "utc")
     s = sessions(m, "channel_id", "utc", SESSION_GAP_S)
     return s.select("channel_id", F.col("start").alias("start_s"), F.col("end").alias("end_s"), F.col("n_events").alias("n_clips"))
 
 
 def p1_durations(spark: SparkSession, sf: str) -> DataFrame:
     """Sessions of the events table by user, with their durations (thirty-minute gap)."""
-    ev = read(spark, sf, "events").select("user_id", F.unix_seconds("ts").alias("t") if dict(read(spark, sf, "events").dtypes)["ts"] == "timestamp" else F.unix_seconds(F.col("ts").cast("timestamp")).alias("t"))
+    ev = read(spark, sf, "events").select("user_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("t"))
     s = sessions(ev, "user_id", "t", 1800)
     return s.select("user_id", F.col("start").alias("start_s"), F.col("end").alias("end_s"), F.col("duration").alias("duration_s"), F.col("n_events").alias("n_moments"))
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
-    return row_errors(read(spark, sf, "raw_export"), read(spark, sf, "channels"))
+    return row_errors(spread(read(spark, sf, "raw_export")), read(spark, sf, "channels"))
 
 
 def p5_loaded(spark: SparkSession, sf: str) -> DataFrame:
-    return clean_rows(read(spark, sf, "raw_export"), read(spark, sf, "channels"))
+    return clean_rows(spread(read(spark, sf, "raw_export")), read(spark, sf, "channels"))
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_durations, p3_found, p3_report, p5_found, p5_loaded)}

@@ -70,3 +70,13 @@ def hold(df: DataFrame, **columns: Column) -> DataFrame:
 def parallelism(spark: SparkSession, least: int = 8) -> int:
     """Partitions for CPU-bound Python stages: a multiple of the cores, never below ``least``."""
     return max(least, 2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out evenly where a scan has fewer partitions than the cluster has cores.
+
+    Text work is bound by the CPU, and one compressed file split may hold hundreds of megabytes of text. Large
+    inputs already have more splits than that and pass through unchanged.
+    """
+    n = parallelism(df.sparkSession)
+    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from turnloom.llm.residue import residue
 from turnloom.llm.runs import speaker_runs
 from turnloom.llm.sentences import split_sentences
 from turnloom.llm.turns import clean_dialogues, transcript_turns
-from turnloom.runtime import read
+from turnloom.runtime import read, spread
 
 
 def _p7(spark: SparkSession, sf: str) -> DataFrame:
-    raw = read(spark, sf, "grouped").filter("punctuation_source is null")
+    raw = spread(read(spark, sf, "grouped").filter("punctuation_source is null").select("group_id", "plain_text"))
     a = transcript_turns(raw, "group_id", "plain_text").withColumn("src_table", F.lit("grouped"))
     d = read(spark, sf, "dialogues").select("dialogue_id", "dialogue", "speaker", "loaded_at")
     b = clean_dialogues(d, "dialogue_id", "dialogue", "speaker", "loaded_at").withColumn("src_table", F.lit("dialogues"))
@@ -28,8 +29,8 @@ def p7_utterances(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _p2(spark: SparkSession, sf: str) -> DataFrame:
-    g = read(spark, sf, "grouped").filter("punctuation_source is not null").select("group_id", "plain_text")
-    s = read(spark, sf, "segments").select("segment_id", "text")
+    g = spread(read(spark, sf, "grouped").filter("punctuation_source is not null").select("group_id", "plain_text"))
+    s = spread(read(spark, sf, "segments").select("segment_id", "text"))
     a = split_sentences(g, "group_id", "plain_text").withColumn("src_table", F.lit("grouped"))
     return a.unionByName(split_sentences(s, "segment_id", "text").withColumn("src_table", F.lit("segments")))
 
@@ -54,4 +55,16 @@ def p6_turns(spark: SparkSession, sf: str) -> DataFrame:
     return speaker_runs(read(spark, sf, "dialogues").select(*cols))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_sentences, p6_found, p6_turns, p7_found, p7_utterances)}
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    docs = spread(read(spark, sf, "documents").select("doc_id", "text", "source", "page_id", "page_title"))
+    return residue(docs).select("doc_id")
+
+
+def p10_kept(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents left after exclusion, by source."""
+    docs = read(spark, sf, "documents")
+    out = residue(spread(docs).select("doc_id", "text", "source", "page_id", "page_title"))
+    return docs.join(out, "doc_id", "left_anti").groupBy("source").agg(F.count("*").alias("n_documents"), F.sum("n_chars").alias("n_chars"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_sentences, p6_found, p6_turns, p7_found, p7_utterances, p10_found, p10_kept)}

@@ -1,0 +1,137 @@
+"""Template residue and error-page text (problem 10): records whose real content is missing.
+
+Lines are normalised and counted by host over the distinct pages that hold them; recurrent lines that are no
+evidence themselves are site furniture and are subtracted together with headings, page titles and bare markup.
+A record is excluded if what is left is nothing but evidence (filler, editor's prompts, an error message, a call
+to enable scripts), or if its own text holds an unfilled slot outside code and quotations, however long the rest.
+All of it is JVM expressions; line counts are combined before the shuffle and a hot host is spread by line.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from turnloom.functions.text import ws_trim
+from turnloom.runtime import cut, hold
+
+HOST_PAGES = 3  # a line on so many pages of a host is furniture there
+LONG_LINE = 240  # neither furniture nor a message is longer; filler may be
+ALL_PAGES = 8  # and on so many pages of all hosts it is furniture anywhere
+
+# Code, comments and quotations show or discuss a slot; they are taken out before looking for one.
+_CODE = r"(?is)<(nowiki|code|pre|syntaxhighlight|source|math|tt|kbd|samp)\b[^>]*>.*?(?:</\1\s*>|(?=\n)|\z)|<!--.*?(?:-->|\z)|`[^`\n]{1,80}`"
+_QUOTED = r"(?s)\"[^\"\n]{1,160}\"|“[^“”\n]{1,160}”|„[^„“”\n]{1,160}[“”]"
+
+# Shapes of unfilled slots.
+SLOTS = (
+    r"\{\{\{[^{}\n]{0,60}\}\}\}",
+    r"\$\{\s*\w[\w .\-]{0,40}\}",
+    r"(?<![{$\\\w}])\{(?:\s*|\d{1,3}|[A-Za-z_][\w \-]{0,40})\}(?!\})",
+    r"@@\w{1,40}@@",
+    r"(?<![\w_])__(?!(?:NO|FORCE)?(?:TOC|INDEX|EDITSECTION|GALLERY|NEWSECTIONLINK|TITLECONVERT|CONTENTCONVERT|STATICREDIRECT)__)[A-Z0-9][A-Z0-9_]{0,40}?__(?![\w_])",
+    r"(?<![\w%])%(?:[A-Z][A-Z0-9_]{0,40}|\d)%(?![\w%])",
+    r"(?<![\w#&])#[A-Z][A-Z0-9_]{1,40}#(?![\w#])",
+    r"«[A-Z][A-Z0-9_]{1,40}»",
+    r"<(?!/|(?:REF|BR|DIV|SPAN|NOWIKI|CODE|PRE|REFERENCES|GALLERY|SMALL|BIG|SUP|SUB|TABLE|TR|TD|TH|UL|OL|LI|CENTER|FONT|BLOCKQUOTE|POEM|MATH|NOINCLUDE|ONLYINCLUDE|INCLUDEONLY|NOSCRIPT|HTML|HEAD|TITLE|BODY|SCRIPT|STYLE|TT|HR|IMG|DEL|INS|CITE|ABBR|STRONG|EM)\b)[A-Z][A-Z0-9_ ]{1,40}>",
+    r"(?i)\[(?:INSERT|TODO|TBD|FIXME|YOUR|ENTER|FILL IN)\b[^\[\]\n]{0,60}\]",
+    r"(?i)\[[a-z][a-z _\-]{0,40} (?:goes )?here\]",
+    r"(?<![A-Za-z])X{4,}(?![A-Za-z])",
+)
+
+# Messages of scripts-required pages, errors and editors' prompts, by language.
+SCRIPT = (
+    r"(?i)\b(?:enable|turn on|activate|allow|switch on|needs?|requires?)\b.{0,60}\b(?:java ?script|scripts?)\b|"
+    r"\b(?:java ?script|scripts?)\b.{0,60}\b(?:enabled|activated|required|disabled|switched (?:on|off)|turned (?:on|off))\b|"
+    r"\bactive[rz]\b.{0,40}\bjava ?script\b|\bjava ?script\b.{0,40}\baktivieren|\baktivieren\b.{0,40}\bjava ?script\b|"
+    r"java ?script.{0,20}(?:有効|启用|啟用|開啟|habilit)|(?:启用|啟用|打开|habilite|activ[ae]).{0,20}java ?script"
+)
+ERROR = (
+    r"(?i)\b(?:error|fehler|erreur|http)\b\s*:?\s*\d{3}\b|(?:エラー|错误|錯誤)\s*\d{3}|\b\d{3}\s*[–:-]\s*(?:the |this )?(?:page|error|not found|forbidden)|"
+    r"could not be (?:found|displayed|completed|loaded|reached)|(?:was|were) not found\b|page not found|something went wrong|"
+    r"fatal (?:exception|error)|service (?:temporarily )?unavailable|unavailable \(\d|timed out\b|did not answer|too many requests|"
+    r"(?:access|request).{0,40}(?:denied|forbidden)|has been denied|session has expired|down for maintenance|blocked by a security rule|"
+    r"internal (?:fault|error|server error)|database error|connection .{0,30}was lost|could not load|too long to send|"
+    r"is missing or has been moved|try again (?:later|in a)|nicht gefunden|nicht erreichbar|nicht verfügbar|später erneut|introuvable|"
+    r"indisponible|réessayer|une erreur|見つかりません|ご利用いただけません|再度お試し|找不到|不可用|稍后再试|请稍后|無法|no encontrad"
+)
+PROMPT = (
+    r"(?i)^\W*(?:(?:write|describe|add|insert|enter|replace|type|put|edit|summari[sz]e|explain)\b.{0,120}(?:here|subject|section|article|paragraph|text|content|topic)\b.{0,30}|"
+    r"(?:your |the |some )?(?:text|content|description|paragraph|title|name|summary|details?)\b.{0,30}\b(?:goes |will go |to go )?here\b.{0,60}|"
+    r".{0,60}\bcoming soon\b.{0,20}|.{0,60}\bto be (?:written|added|filled|completed)\b.{0,60}|(?:sample|dummy|placeholder|example) (?:text|content)\b.{0,200}|"
+    r"lorem ipsum\b.*|(?:under construction|tbd|tba|todo)\b.{0,40})\W*$"
+)
+_FUNCTION_WORDS = (
+    r"(?i)\b(?:the|a|an|of|and|to|in|is|was|were|are|on|for|with|that|by|at|from|its?|as|or|be|this|der|die|das|und|ist|von|mit|den|dem|"
+    r"ein|eine|wurde|nicht|le|la|les|et|est|de|du|des|un|une|el|los|las|y|en|il|lo|che|di|per)\b"
+)
+_FILLER = r"^(?:\p{Lu}\p{Ll}*(?:,? \p{Ll}+)*[.!?]\s*)+$"
+_STRUCTURE = r"^(?:=+[^=]*=+|\{\|.*|\|\}|\|-.*|!.*|\|.*|\}\}|\{\{[^{}]*\}\}|\{\{[^{}|]*|\[\[(?:Category|File|Image|Kategorie|Catégorie|カテゴリ|分类):[^\]]*\]\]|[*#:;\-–—_ ]+|</?[a-z][^<>]*/?>)$"
+
+
+def without_examples(text: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(text, _CODE, " "), _QUOTED, " ")
+
+
+#: All shapes in one pass: the first sign of each is looked for before the shapes are tried.
+_SLOT = r"(?=[{$@_%#«<\[X])(?:" + "|".join(p.replace("(?i)\\[", "(?i:\\[") + (")" if p.startswith("(?i)") else "") for p in SLOTS) + ")"
+
+
+def has_slot(text: Column) -> Column:
+    """An unfilled slot stands in the text (already free of code and quotations)."""
+    return text.rlike(_SLOT)
+
+
+def line_key(line: Column) -> Column:
+    """A line as it recurs: digits and hexadecimal references masked, white space single, lower case."""
+    s = F.regexp_replace(F.lower(line), r"\b(?=[0-9a-f]*\d)[0-9a-f]{4,}\b|\d+", "0")
+    return F.xxhash64(ws_trim(F.regexp_replace(s, r"(?U)\s+", " ")))
+
+
+def evidence_kind(line: Column) -> Column:
+    """What a stripped line is evidence of, null if of nothing."""
+    free = F.regexp_replace(line, r"<[^<>]*>", " ")
+    free = ws_trim(F.regexp_replace(free, _QUOTED, " "))
+    short = F.length(free) <= LONG_LINE
+    return (
+        F.when(short & free.rlike(SCRIPT), F.lit("scripts"))
+        .when(short & free.rlike(ERROR), F.lit("error"))
+        .when(short & free.rlike(PROMPT), F.lit("prompt"))
+        .when(~free.rlike(_FUNCTION_WORDS) & free.rlike(_FILLER), F.lit("filler"))
+    )
+
+
+def residue(docs: DataFrame) -> DataFrame:
+    """``doc_id, reason`` of each record to leave out; reasons ``slot``, ``scripts``, ``error``, ``prompt``, ``filler``.
+
+    Needs ``doc_id, text, source, page_id, page_title``. Null and blank texts, redirects and vandalism are kept. A
+    null source is a host of its own. Evidence in a long real text, in code or in quotations doesn't count.
+    """
+    base = docs.select("doc_id", "text", F.coalesce("source", F.lit("")).alias("host"), "page_id", ws_trim(F.lower("page_title")).alias("title"))
+    base = base.filter("text is not null and length(text) > 0")
+    slots = hold(base.select("doc_id", "text"), free=without_examples(F.col("text"))).filter(has_slot(F.col("free")))
+    slots = slots.select("doc_id", F.lit("slot").alias("reason"))
+
+    pages = hold(base.filter(~F.col("text").rlike(r"(?i)^\s*#\s*(redirect|weiterleitung|redirection)")), all_lines=F.split("text", r"[\n\r]+")).drop("text")
+
+    def exploded(df: DataFrame, lines: Column) -> DataFrame:
+        out = hold(df.select("doc_id", "host", "page_id", "title", F.explode(lines).alias("l")), line=ws_trim(F.col("l"))).drop("l")
+        bare = F.col("line").rlike(_STRUCTURE) | (F.lower("line") == F.col("title"))
+        return out.filter((F.col("line") != "") & ~bare)
+
+    # Counted over all documents: pages per host and line, combined before the shuffle.
+    brief = exploded(pages, F.filter("all_lines", lambda x: F.length(x) <= LONG_LINE))
+    counted = brief.select("host", "page_id", line_key(F.col("line")).alias("k")).distinct().groupBy("host", "k").agg(F.count("*").alias("pages"))
+    counted = cut(counted.filter("k is not null"))
+    every = counted.groupBy("k").agg(F.sum("pages").alias("all_pages"), F.max("pages").alias("most"))
+    often = every.filter((F.col("all_pages") >= ALL_PAGES) | (F.col("most") >= HOST_PAGES)).select("k", "all_pages")
+    often = counted.join(often, "k").filter((F.col("all_pages") >= ALL_PAGES) | (F.col("pages") >= HOST_PAGES)).select("host", "k", F.lit(True).alias("furniture"))
+
+    # A long line with the small words of a language is real text: such records (most) need no closer look.
+    real_long = F.exists("all_lines", lambda x: (F.length(x) > LONG_LINE) & x.rlike(_FUNCTION_WORDS))
+    judged = cut(hold(exploded(pages.filter(~real_long), F.col("all_lines")), kind=evidence_kind(F.col("line"))).select("doc_id", "host", "kind", F.when(F.col("kind").isNull() & (F.length("line") <= LONG_LINE), line_key(F.col("line"))).alias("k")))
+    suspects = judged.filter("kind is not null").groupBy("doc_id").agg(F.min("kind").alias("reason"))
+    rest = judged.filter("kind is null").join(suspects.select("doc_id"), "doc_id", "left_semi")
+    real = rest.join(often, ["host", "k"], "left").filter("furniture is null").select("doc_id").distinct()
+    empty = suspects.join(real, "doc_id", "left_anti")
+    return slots.unionByName(empty).groupBy("doc_id").agg(F.min_by("reason", F.when(F.col("reason") == "slot", 1).otherwise(0)).alias("reason"))

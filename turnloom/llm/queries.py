@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from turnloom.llm.leaks import leaks, removal_spans
 from turnloom.llm.residue import residue
 from turnloom.llm.runs import speaker_runs
 from turnloom.llm.sentences import split_sentences
@@ -67,4 +68,16 @@ def p10_kept(spark: SparkSession, sf: str) -> DataFrame:
     return docs.join(out, "doc_id", "left_anti").groupBy("source").agg(F.count("*").alias("n_documents"), F.sum("n_chars").alias("n_chars"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_sentences, p6_found, p6_turns, p7_found, p7_utterances, p10_found, p10_kept)}
+def _p8(spark: SparkSession, sf: str) -> DataFrame:
+    return leaks(spread(read(spark, sf, "documents").select("doc_id", "text")), read(spark, sf, "eval_items"))
+
+
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _p8(spark, sf).select("item_id", "doc_id")
+
+
+def p8_spans(spark: SparkSession, sf: str) -> DataFrame:
+    return removal_spans(_p8(spark, sf))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_sentences, p6_found, p6_turns, p7_found, p7_utterances, p8_found, p8_spans, p10_found, p10_kept)}

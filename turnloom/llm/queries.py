@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnloom.llm.leaks import leaks, removal_spans
+from turnloom.llm.names import entities, entity_pairs
 from turnloom.llm.residue import residue
 from turnloom.llm.runs import speaker_runs
 from turnloom.llm.sentences import split_sentences
@@ -80,4 +81,15 @@ def p8_spans(spark: SparkSession, sf: str) -> DataFrame:
     return removal_spans(_p8(spark, sf))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_sentences, p6_found, p6_turns, p7_found, p7_utterances, p8_found, p8_spans, p10_found, p10_kept)}
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return entity_pairs(entities(read(spark, sf, "name_forms")))
+
+
+def p4_entities(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per form: its entity (named by its smallest form) and the number of forms it is linked to."""
+    e = entities(read(spark, sf, "name_forms"))
+    g = e.groupBy("entity").agg(F.min("name_id").alias("entity_id"), (F.count("*") - 1).alias("n_links"))
+    return e.join(g, "entity").select("name_id", "entity_id", "n_links")
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_sentences, p4_found, p4_entities, p6_found, p6_turns, p7_found, p7_utterances, p8_found, p8_spans, p10_found, p10_kept)}

@@ -14,12 +14,13 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnloom.runtime import cut
 
-COSINE = 0.40  # pairs below are no candidates
+COSINE = 0.35  # pairs below are no candidates
+FIRST_SHARE = 0.6  # weight of a person's first name beside the surname
 LINKAGE = 0.25  # average agreement between groups that are merged
 CONFLICT = -1.0
 
@@ -63,8 +64,10 @@ _TOKEN = re.compile(r"[^\W_]+(?:'[^\W_]+)*\.?")
 
 
 def _fold(s: str) -> str:
+    """Lower case without accents; a closing -ie or -ey is written -y, which typists mix."""
     s = unicodedata.normalize("NFKD", s)
-    return "".join(c for c in s if not unicodedata.combining(c)).lower()
+    s = "".join(c for c in s if not unicodedata.combining(c)).lower()
+    return re.sub(r"(?<=[^\W\d_]{3})(?:ie|ey)\b", "y", s)
 
 
 def parse_form(form: str | None) -> tuple[str, list[str], str, bool] | None:
@@ -156,13 +159,21 @@ def _first_agrees(a: str, b: str) -> float:
     xs, ys = _NICK.get(x, frozenset()) | {x}, _NICK.get(y, frozenset()) | {y}
     if xs & ys:
         return 1.0
-    if any(_osa1(p, q) for p in xs for q in ys if len(p) > 3 and len(q) > 3):
+    if any(_osa1(p, q) for p in xs for q in ys if len(p) > 2 and len(q) > 2):
         return 0.9
     if any(_near2(p, q) for p in xs for q in ys):
         return 0.0
     return CONFLICT
 
 
+def _skeleton(short: str, word: str) -> bool:
+    """``short`` is the word with its vowels (and some other letters) left out, as in Bd, Grp, Svc."""
+    if not 2 <= len(short) <= len(word) // 2 + 1 or short[0] != word[0] or re.search("[aeiou.]", short):
+        return False
+    rest = iter(word)
+    return all(c in rest for c in short)
+
+
 def agreement(a: tuple, b: tuple) -> float:
     """How far two cleaned names agree: 1 the same, 0 open, ``CONFLICT`` different people or bodies.
 
@@ -177,6 +188,8 @@ def agreement(a: tuple, b: tuple) -> float:
         rest, score = list(q), 1.0
         for x in sorted(p, key=len, reverse=True):
             hit = next((y for y in rest if x == y), None) or next((y for y in rest if _osa1(x, y) and len(x) > 3), None)
+            if hit is None:
+                hit = next((y for y in rest if _skeleton(x, y) or _skeleton(y, x)), None)
             if hit is None:
                 hit = next((y for y in rest if (x.endswith(".") and y.startswith(x[:-1])) or (y.endswith(".") and x.startswith(y[:-1]))), None)
             if hit is None:
@@ -235,13 +248,20 @@ def cleaned_names(forms: DataFrame) -> DataFrame:
 
 def trigrams(nodes: DataFrame) -> DataFrame:
     """``node, g, w``: unit vectors of distinct character trigrams, weighted by rarity over all nodes."""
-    words = F.filter(F.split(F.concat_ws(" ", "first", "last"), r"[ .]+"), lambda x: x != "")
-    padded = F.transform(words, lambda x: F.concat(F.lit("^"), x, F.lit("$")))
-    grams = F.array_distinct(F.flatten(F.transform(padded, lambda x: F.transform(F.sequence(F.lit(1), F.greatest(F.length(x) - 2, F.lit(1))), lambda i: x.substr(i, F.lit(3))))))
-    flat = nodes.select("node", F.explode(grams).alias("g"))
-    df = flat.groupBy("g").agg(F.count("*").alias("df"))
+
+    def grams(text: Column, share: float) -> Column:
+        words = F.filter(F.split(text, r"[ .]+"), lambda x: x != "")
+        padded = F.transform(words, lambda x: F.concat(F.lit("^"), x, F.lit("$")))
+        cut3 = F.transform(padded, lambda x: F.transform(F.sequence(F.lit(1), F.greatest(F.length(x) - 2, F.lit(1))), lambda i: x.substr(i, F.lit(3))))
+        return F.transform(F.array_distinct(F.flatten(cut3)), lambda g: F.struct(g.alias("g"), F.lit(share).alias("share")))
+
+    # What tells people apart from others of their first name weighs more than the first name.
+    person = F.col("kind") == "person"
+    both = F.concat(grams(F.col("last"), 1.0), F.when(person, grams(F.col("first"), FIRST_SHARE)).otherwise(grams(F.col("first"), 1.0)))
+    flat = nodes.select("node", F.inline(both)).groupBy("node", "g").agg(F.max("share").alias("share"))
+    df = flat.groupBy("g").agg(F.count("*").alias("df")).filter("df > 1")  # a gram of one node supports no link
     total = float(nodes.count())
-    weighted = flat.join(df, "g").withColumn("raw", F.log(F.lit(total) / F.col("df")) + 0.1)
+    weighted = flat.join(df, "g").withColumn("raw", F.col("share") * (F.log(F.lit(total) / F.col("df")) + 0.1))
     norm = weighted.groupBy("node").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
     return weighted.join(norm, "node").select("node", "g", "df", (F.col("raw") / F.col("norm")).alias("w"))
 

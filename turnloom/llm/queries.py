@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnloom.llm.leaks import leaks, removal_spans
+from turnloom.llm.mixing import mixture, reached
 from turnloom.llm.names import entities, entity_pairs
 from turnloom.llm.residue import residue
 from turnloom.llm.runs import speaker_runs
@@ -92,4 +93,14 @@ def p4_entities(spark: SparkSession, sf: str) -> DataFrame:
     return e.join(g, "entity").select("name_id", "entity_id", "n_links")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_sentences, p4_found, p4_entities, p6_found, p6_turns, p7_found, p7_utterances, p8_found, p8_spans, p10_found, p10_kept)}
+def p9_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    docs = spread(read(spark, sf, "documents").select("doc_id", "source", "text"))
+    return mixture(docs, read(spark, sf, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
+    docs = spread(read(spark, sf, "documents").select("doc_id", "source", "text"))
+    return reached(docs, read(spark, sf, "mix_targets"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_sentences, p4_found, p4_entities, p6_found, p6_turns, p7_found, p7_utterances, p8_found, p8_spans, p9_mixture, p9_shares, p10_found, p10_kept)}

@@ -50,3 +50,6 @@ def p5_loaded(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_durations, p3_found, p3_report, p5_found, p5_loaded)}
+
+#: Twins in SQL, where one is quick enough on whole tables.
+SQL: dict[str, str] = {}

@@ -447,3 +447,84 @@ def verification_report(spark, sf):
     d = _dialogues(spark, sf).filter("verification_score is not null")
     block = verdicts.report_block(F.coalesce("order_index", F.lit(0)) + 1, F.col("dialogue_id"), F.col("dialogue"), F.col("speaker"), F.col("speaker"), F.col("role"), F.col("confidence_score"), F.col("verification_score"), F.lit(True), F.col("note"))
     return d.select("dialogue_id", block.alias("block"))
+
+
+def _provider_groups(spark, sf):
+    return read(spark, sf, "grouped")
+
+
+@query()
+def stage_relevance(spark, sf):
+    from turnloom.inference import stages
+    from turnloom.inference.provider import RuleProvider
+
+    return stages.relevance(_provider_groups(spark, sf), RuleProvider(), per_minute=1e9)
+
+
+@query()
+def stage_punctuation(spark, sf):
+    from turnloom.inference import stages
+    from turnloom.inference.provider import RuleProvider
+
+    raw = _provider_groups(spark, sf).filter("punctuation_source is null")
+    return stages.punctuation(raw, RuleProvider(), per_minute=1e9)
+
+
+@query(r"""SELECT group_id, len(regexp_extract_all(plain_text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]'))::BIGINT AS tokens FROM "grouped" WHERE plain_text IS NOT NULL""")
+def stage_count(spark, sf):
+    from turnloom.inference import stages
+    from turnloom.inference.provider import RuleProvider
+
+    return stages.token_counts(_provider_groups(spark, sf), RuleProvider()).select("group_id", "tokens")
+
+
+@query()
+def stage_segmentation(spark, sf):
+    from turnloom.inference import stages
+    from turnloom.inference.provider import RuleProvider
+
+    g = _provider_groups(spark, sf).filter("punctuation_source is not null")
+    return stages.segment_rows(stages.segmentation(g, RuleProvider(), per_minute=1e9), g)
+
+
+@query()
+def stage_attribution(spark, sf):
+    from turnloom.inference import stages
+    from turnloom.inference.provider import RuleProvider
+
+    return stages.attribution(read(spark, sf, "segments"), RuleProvider(), per_minute=1e9)
+
+
+@query()
+def stage_verification(spark, sf):
+    from turnloom.inference import stages
+    from turnloom.inference.provider import RuleProvider
+
+    return stages.verification(_dialogues(spark, sf), _provider_groups(spark, sf), RuleProvider(), per_minute=1e9)
+
+
+@query()
+def stage_name_roles(spark, sf):
+    from turnloom.inference import stages
+    from turnloom.inference.provider import RuleProvider
+
+    names = read(spark, sf, "person_bio").filter("person is not null").select("group_id", ws_trim(F.col("person")).alias("person")).filter("person <> ''").distinct()
+    return stages.name_roles(names, RuleProvider(), per_minute=1e9)
+
+
+@query()
+def stage_names(spark, sf):
+    from turnloom.inference import stages
+
+    t = stages.token_labels(read(spark, sf, "person_bio").select(F.col("row_id").alias("key"), F.col("plain_text").alias("text")), stages.capital_tagger)
+    return t.select("key", F.array_join(people.name_spans(F.col("tokens"), F.col("labels")), ", ").alias("names"))
+
+
+@query()
+def stage_diarization(spark, sf):
+    from turnloom.inference import stages
+    from turnloom.inference.provider import RuleProvider
+
+    g = _provider_groups(spark, sf).filter("punctuation_source is not null")
+    whole = stages.diarization(g, RuleProvider(), per_minute=1e9).withColumn("form", F.lit("whole"))
+    return whole.unionByName(stages.diarization(g, RuleProvider(), indexed=True, per_minute=1e9).withColumn("form", F.lit("indexed")))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,8 +31,28 @@ def build_session(master: str | None = None, app: str = "turnloom", **conf: str)
     return b.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the Python workers where they could not import it by themselves.
+
+    Workers see the driver's ``PYTHONPATH`` and, on one machine, its working directory; anywhere else the package
+    travels as a zip that Spark's own file server hands out.
+    """
+    package = Path(__file__).resolve().parent
+    seen = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()]
+    sc = spark.sparkContext
+    if str(package.parent) in seen or sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    made = shutil.make_archive(os.path.join(tempfile.mkdtemp(), package.name), "zip", package.parent, package.name)
+    sc.addPyFile(made)
+
+
+_SHIPPED: set[str] = set()
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One Parquet table of a data folder."""
+    ship(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{table}.parquet"))
 
 

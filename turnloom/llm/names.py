@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from turnloom.runtime import cut
 
-COSINE = 0.35  # pairs below are no candidates
+COSINE = 0.40  # pairs below are no candidates
+TAIL = 0.5  # share of the threshold that the grams left out of the join may weigh
 FIRST_SHARE = 0.6  # weight of a person's first name beside the surname
 LINKAGE = 0.25  # average agreement between groups that are merged
 CONFLICT = -1.0
@@ -269,15 +270,21 @@ def trigrams(nodes: DataFrame) -> DataFrame:
 def similar_pairs(vectors: DataFrame, threshold: float = COSINE) -> DataFrame:
     """``a, b, cosine`` of every pair of nodes with at least ``threshold``: exact, by prefix filtering.
 
-    A vector's grams are ordered from the rarest; once those left weigh less than the threshold together, no pair can
-    reach it by them alone, so only the grams before are joined. Products are then summed over the whole vectors of
-    the pairs found.
+    A vector's grams are ordered from the rarest; once those left weigh less than a part of the threshold together,
+    only the grams before are joined. A pair's products there plus the most that the rest can add bound its cosine;
+    products over the whole vectors are summed for the pairs that can still reach the threshold.
     """
     w = Window.partitionBy("node").orderBy(F.desc("df"), F.desc("g"))
-    tail = F.sqrt(F.sum(F.col("w") * F.col("w")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    prefix = vectors.withColumn("tail", tail).filter(F.col("tail") >= threshold - 1e-9).select("node", "g")
-    x, y = prefix.select(F.col("node").alias("a"), "g"), prefix.select(F.col("node").alias("b"), "g")
-    pairs = x.join(y, "g").filter("a < b").select("a", "b").distinct()
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    ranked = vectors.withColumn("norm", norm)
+    kept = F.col("norm") >= TAIL * threshold - 1e-9
+    tail = F.coalesce(F.max(F.when(~kept, F.col("norm"))).over(Window.partitionBy("node")), F.lit(0.0))
+    prefix = ranked.withColumn("tail", tail).filter(kept)
+    side = lambda s: prefix.select(F.col("node").alias(s), "g", F.col("w").alias(f"w{s}"), F.col("tail").alias(f"t{s}"))
+    # What the grams left out can add is at most the larger tail, so most chance meetings end here.
+    met = side("a").join(side("b"), "g").filter("a < b").groupBy("a", "b")
+    met = met.agg(F.sum(F.col("wa") * F.col("wb")).alias("part"), F.max(F.greatest("ta", "tb")).alias("rest"))
+    pairs = met.filter(F.col("part") + F.col("rest") >= threshold - 1e-9).select("a", "b")
     whole = vectors.groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("g", "w"))).alias("v"))  # one name's grams
     both = pairs.join(whole.select(F.col("node").alias("a"), F.col("v").alias("va")), "a").join(whole.select(F.col("node").alias("b"), F.col("v").alias("vb")), "b")
     dot = F.aggregate(F.map_entries("va"), F.lit(0.0), lambda s, e: s + e["value"] * F.coalesce(F.try_element_at(F.col("vb"), e["key"]), F.lit(0.0)))

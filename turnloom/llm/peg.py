@@ -80,15 +80,22 @@ def guard(first: str, part: Rule) -> Rule:
 
 
 def nested(get: Callable[[], Rule]) -> Rule:
-    """A rule named before it is defined; fails beyond ``MAX_DEPTH`` levels instead of exhausting the stack."""
+    """A rule named before it is defined; fails beyond ``MAX_DEPTH`` levels instead of exhausting the stack.
+
+    Results are remembered by position, so text that nests without end is tried once, not once per level.
+    """
 
     def run(text: str, pos: int, state: dict) -> Node | None:
+        memo = state.setdefault("memo", {})
+        if pos in memo:
+            return memo[pos]
         if state.get("depth", 0) >= MAX_DEPTH:
             return None
         state["depth"] = state.get("depth", 0) + 1
         try:
-            return get()(text, pos, state)
+            memo[pos] = get()(text, pos, state)
         finally:
             state["depth"] -= 1
+        return memo[pos]
 
     return run

@@ -79,13 +79,12 @@ def segment(keys: list[str | None]) -> list[tuple[int, int, str]]:
             counts: dict[str, int] = {}
             for i in range(j - 1, -1, -1):
                 k, s, e = items[i]
+                if k not in counts and any(_distance(k, c) > 2 and not _near(k, c) for c in counts):
+                    break  # members of a run are one slip from its best member, so two from each other
                 counts[k] = counts.get(k, 0) + e - s
                 within, rep = min((sum(_distance(c, r) * w for c, w in counts.items()), -counts[r], r) for r in counts)[::2]
-                if within == float("inf") and not any(all(_distance(c, r) < 2 for c in counts) for r in counts):
-                    # No member is near all others; an earlier one may be, if it is near each of these.
-                    if len(counts) > 2 or not _bridge(items, i, counts):
-                        break
-                    continue
+                if within == float("inf"):
+                    continue  # a member further back may be near them all
                 if best[i] + BOUNDARY + within <= best[j]:
                     best[j], back[j] = best[i] + BOUNDARY + within, (i, rep)
         cuts, j = [], n
@@ -124,10 +123,6 @@ def _near(a: str, b: str) -> bool:
     return False
 
 
-def _bridge(items: list, i: int, counts: dict) -> bool:
-    return i > 0 and all(_distance(items[i - 1][0], c) < 2 for c in counts)
-
-
 _SCHEMA = "entity string, cell bigint, first_pos bigint, last_pos bigint, n bigint, first_s bigint, last_s bigint, rep string, opens boolean, closes boolean"
 
 

@@ -55,15 +55,24 @@ _word = rx("word", r"[^\s\[\](){}<>*♪♫♬]+")
 _char = rx("char", r"(?s).")
 
 
+NOTE_CHARS = 300  # an annotation that doesn't close within so many characters is none
+
+
 def _note_rule(opening: str, closing: str):
     other = rx("inner", rf"[^{regex.escape(opening + closing)}\[\](){{}}<>\n]+|[^{regex.escape(closing)}\n]")
-    return guard(opening, seq("note", rx("open", regex.escape(opening)), star("body", choice(nested(lambda: _note), other)), rx("close", regex.escape(closing))))
+    whole = seq("note", rx("open", regex.escape(opening)), star("body", choice(nested(lambda: _note), other)), rx("close", regex.escape(closing)))
+
+    def closes(text: str, pos: int, state: dict) -> Node | None:
+        return whole(text, pos, state) if text.find(closing, pos + 1, pos + NOTE_CHARS) >= 0 else None
+
+    return guard(opening, closes)
 
 
 _music = guard("♪♫♬", rx("note", r"[♪♫♬]{2,}|[♪♫♬](?:[^♪♫♬\n<\[({>]{1,120}[♪♫♬])?"))
 _starred = guard("*", rx("note", r"\*[^*\n]{1,80}\*"))
 _angle = guard("<", rx("note", r"</?[^<>\n]{1,120}>"))
 _note = choice(_note_rule("[", "]"), _note_rule("(", ")"), _note_rule("{", "}"), _angle, _starred, _music)
+_memo_note = nested(lambda: _note)
 
 
 def _known_label(text: str, pos: int, state: dict) -> Node | None:
@@ -102,7 +111,7 @@ def _talk(text: str, pos: int, state: dict) -> Node | None:
     return Node("word", pos, min(m.end(), stop))
 
 
-TRANSCRIPT = star("transcript", choice(_known_label, _talk, _stamp, _voice_label, _bracket_label, _marker, _abbrev, _note, _word, _char))
+TRANSCRIPT = star("transcript", choice(_known_label, _talk, _stamp, _voice_label, _bracket_label, _marker, _abbrev, _memo_note, _word, _char))
 
 _ROLE_END = regex.compile(r"\s*(?:\([^()\n]{1,40}\))?\s?$")
 #: A name of one or two words read backwards from its colon.

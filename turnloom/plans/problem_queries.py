@@ -52,4 +52,9 @@ def p5_loaded(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (p1_found, p1_durations, p3_found, p3_report, p5_found, p5_loaded)}
 
 #: Twins in SQL, where one is quick enough on whole tables.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "p1_durations": """WITH m AS (SELECT DISTINCT user_id, CAST(floor(epoch(ts)) AS BIGINT) AS t FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL),
+a AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY user_id ORDER BY t) <= 1800 THEN 0 ELSE 1 END AS nw FROM m),
+b AS (SELECT *, sum(nw) OVER (PARTITION BY user_id ORDER BY t) AS s FROM a)
+SELECT user_id, min(t) AS start_s, max(t) AS end_s, max(t) - min(t) AS duration_s, count(*) AS n_moments FROM b GROUP BY user_id, s""",
+}

@@ -24,14 +24,16 @@ def segment_lists(segments: DataFrame) -> DataFrame:
 
 
 def dialogue_export(dialogues: DataFrame, groups: DataFrame) -> DataFrame:
-    """Dialogues with their group's programme under the export's column names; the dialogue's own block flag wins."""
+    """Dialogues with their group's programme under the export's column names; the dialogue's own block flag wins.
+
+    In order of date, time and place; channels interleave."""
     g = groups.select("group_id", "broadcast_date", "program_title", "channel_name", F.col("block_status").alias("__gb"))
     j = dialogues.join(g, "group_id")
     return j.select(
         F.col("broadcast_date").alias("Broadcast Date"), F.col("broadcast_time").alias("Broadcast Time"), F.col("program_title").alias("Program Title"),
         F.col("channel_name").alias("Channel Name"), F.col("dialogue").alias("Dialogue"), F.col("speaker").alias("Speaker"), F.col("role").alias("Role"),
         F.col("confidence_score").alias("Confidence Score"), F.coalesce("block_status", "__gb").alias("Block Status"), F.col("order_index").alias("Order Index"),
-    )
+    ).orderBy("Broadcast Date", "Broadcast Time", "Order Index")
 
 
 def failed_left(failed: DataFrame, resolved: DataFrame, blocked: DataFrame, key: str = "group_id") -> DataFrame:

@@ -92,3 +92,40 @@ class Pipeline:
             return out
         out["final"] = self._step("final", lambda: numbered_final(windows.final_windows(groups, stitched)))
         return out
+
+    def status(self) -> DataFrame:
+        """The groups as they stand: status, size label and block flag derived from the outcome tables on disk.
+
+        A safety block moves a group forward with its flag set; a failure holds it where it is until the next run.
+        """
+        groups = self.tables.read("grouped")
+        seen: list[DataFrame] = []
+        blocked: list[DataFrame] = []
+
+        def passed(table: str, attempt: int, status, flag: str | None) -> None:
+            for k in (1, 2):
+                if self.tables.exists(f"{table}_{k}"):
+                    df = self.spark.read.parquet(self.tables.path(f"{table}_{k}"))
+                    seen.append(df.select("group_id", F.lit(attempt + k).alias("attempt"), status(df).alias("status")))
+                    if flag:
+                        blocked.append(df.filter("outcome = 'blocked'").select("group_id", F.lit(flag).alias("block"), F.lit(attempt).alias("attempt")))
+
+        good = lambda done, failed: lambda df: F.when(F.col("outcome") == "failed", failed).otherwise(done)
+        passed("relevance", 10, lambda df: F.col("status"), "BLOCKED_RELEVANCE")
+        passed("punctuation", 20, good("PUNCTUATED", "FAILED PUNCTUATION"), None)
+        if self.tables.exists("punctuation_1"):
+            p = self.spark.read.parquet(self.tables.path("punctuation_1"))
+            blocked.append(p.filter("source = 'local'").select("group_id", F.lit("BLOCKED_PUNCTUATION").alias("block"), F.lit(20).alias("attempt")))
+        passed("segmentation", 30, good("SEGMENTED", "FAILED SEGMENTATION"), "BLOCKED_SEGMENTATION")
+        if self.tables.exists("dialogues"):
+            d = self.spark.read.parquet(self.tables.path("dialogues"))
+            seen.append(d.select("group_id", F.lit(40).alias("attempt"), F.lit("ATTRIBUTED").alias("status")).distinct())
+            blocked.append(d.filter("block_status is not null").select("group_id", F.col("block_status").alias("block"), F.lit(40).alias("attempt")).distinct())
+        for df in seen[1:]:
+            seen[0] = seen[0].unionByName(df)
+        for df in blocked[1:]:
+            blocked[0] = blocked[0].unionByName(df)
+        out = state.set_status(groups, seen[0]) if seen else groups
+        if blocked:  # the flag of the latest stage holds
+            out = state.set_block(out, blocked[0].groupBy("group_id").agg(F.max_by("block", "attempt").alias("block")))
+        return state.set_size(out, self.spark.read.parquet(self.tables.path("counts"))) if self.tables.exists("counts") else out

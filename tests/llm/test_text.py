@@ -94,3 +94,9 @@ def test_residue(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, page_id long, page_title string")
     assert {r.doc_id for r in residue(df).collect()} == {i for i, (_, bad) in texts.items() if bad}
     assert residue(df.limit(0)).count() == 0
+
+
+def test_marked_titles_are_no_content(spark):
+    texts = {1: ("'''Steithwaite'''\nText goes here.\n== Heading ==", True), 2: ("[[Steithwaite]]\nText goes here.", True), 3: ("''[[Steith|Steithwaite]]''\nText goes here.", True), 4: ("'''Steithwaite''' is a town.\nText goes here.", False)}
+    df = spark.createDataFrame([(i, t, "web", i, "Steithwaite") for i, (t, _) in texts.items()], "doc_id long, text string, source string, page_id long, page_title string")
+    assert {r.doc_id for r in residue(df).collect()} == {i for i, (_, bad) in texts.items() if bad}

@@ -88,6 +88,12 @@ def line_key(line: Column) -> Column:
     return F.xxhash64(ws_trim(F.regexp_replace(s, r"(?U)\s+", " ")))
 
 
+def unmarked(line: Column) -> Column:
+    """A line in lower case without bold and italic marks, tags and link brackets; of a link what it shows."""
+    s = F.regexp_replace(line, r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]", "$1")
+    return ws_trim(F.lower(F.regexp_replace(s, r"'{2,}|</?[A-Za-z][^<>]*>", "")))
+
+
 def evidence_kind(line: Column) -> Column:
     """What a stripped line is evidence of, null if of nothing."""
     free = F.regexp_replace(line, r"<[^<>]*>", " ")
@@ -116,7 +122,7 @@ def residue(docs: DataFrame) -> DataFrame:
 
     def exploded(df: DataFrame, lines: Column) -> DataFrame:
         out = hold(df.select("doc_id", "host", "page_id", "title", F.explode(lines).alias("l")), line=ws_trim(F.col("l"))).drop("l")
-        bare = F.col("line").rlike(_STRUCTURE) | (F.lower("line") == F.col("title"))
+        bare = F.col("line").rlike(_STRUCTURE) | F.coalesce(unmarked(F.col("line")) == F.col("title"), F.lit(False))
         return out.filter((F.col("line") != "") & ~bare)
 
     # Counted over all documents: pages per host and line, combined before the shuffle.

@@ -52,6 +52,14 @@ def test_runs_across_cells(spark):
         assert got == {(0, 399, 134), (501, 501, 1)}
 
 
+def test_tied_positions_stay_apart_at_any_size(spark):
+    tied = [("e", 5, "anderson", 0), ("e", 5, "bob", 1), ("e", 6, "bob", 2), ("far", -9, "carol", 0), ("far", 1, "carol", 1)]
+    want = [("e", 5, 5, 1, "anderson"), ("e", 5, 6, 2, "bob"), ("far", -9, 1, 2, "carol")]
+    for more, also in ([], []), ([("z", 1023, "dora", 0), ("z", 1024, "dora", 1), ("z", 5000, "dora", 2)], [("z", 1023, 5000, 3, "dora")]):
+        df = spark.createDataFrame(tied + more, "entity string, pos long, key string, second long")
+        assert sorted((r.entity, r.first_pos, r.last_pos, r.n, r.rep) for r in collapse_runs(df).collect()) == want + also
+
+
 def test_speaker_runs(spark):
     rows = [("1", "g", 0, "Ann Robson", "23:59:00", 1), ("1", "g", 0, "Ann Robson", "23:59:00", 2), ("2", "g", 4, "ANN ROBSN (Guest)", "00:01:00", 1), ("3", "g", 5, "unknown", "00:02:00", 1), ("4", "g", 6, "Clip - Ann Robson", "00:03:00", 1), ("5", "g", None, "Ann Robson", "00:03:00", 1), ("6", None, 1, None, None, 1)]
     df = spark.createDataFrame(rows, "dialogue_id string, group_id string, order_index int, speaker string, broadcast_time string, loaded_at int")

@@ -123,7 +123,7 @@ def _near(a: str, b: str) -> bool:
     return False
 
 
-_SCHEMA = "entity string, cell bigint, first_pos bigint, last_pos bigint, n bigint, first_s bigint, last_s bigint, rep string, opens boolean, closes boolean"
+_SCHEMA = "entity string, node struct<cell:bigint,at:bigint>, cell bigint, first_pos bigint, last_pos bigint, n bigint, first_s bigint, last_s bigint, rep string, opens boolean, closes boolean"
 
 
 def collapse_runs(events: DataFrame, cell: int = CELL) -> DataFrame:
@@ -144,7 +144,7 @@ def collapse_runs(events: DataFrame, cell: int = CELL) -> DataFrame:
             keys = [r[1] for r in held]
             got = segment(keys)
             return [
-                (here[0], here[1], held[a][0], held[b - 1][0], b - a, held[a][2], held[b - 1][2], rep, a == 0, b == len(held))
+                (here[0], {"cell": here[1], "at": a}, here[1], held[a][0], held[b - 1][0], b - a, held[a][2], held[b - 1][2], rep, a == 0, b == len(held))
                 for a, b, rep in got
             ]
 
@@ -161,22 +161,19 @@ def collapse_runs(events: DataFrame, cell: int = CELL) -> DataFrame:
 
     parts = laid.select("entity", "cell", "pos", "key", "second").mapInPandas(run, _SCHEMA)
     parts = cut(parts)
-    wide = parts.filter("cell > 0")
-    if wide.isEmpty():
-        return parts.drop("cell", "opens", "closes")
-    # Runs at cell edges: holes may leave whole cells empty, so the neighbour is the entity's cell before.
+    # A run is known by its cell and its place there; positions may be tied. Runs at cell edges: holes may leave whole cells empty, so the neighbour is the entity's cell before.
     from pyspark.sql import Window
 
     cells = rows.select("entity", "cell").distinct()
     before = F.lag("cell").over(Window.partitionBy("entity").orderBy("cell"))
     order = cells.withColumn("before", before).filter("before is not null")
-    left = parts.filter("closes").select("entity", F.col("cell").alias("before"), F.col("first_pos").alias("parent"), F.col("rep").alias("parent_rep"))
+    left = parts.filter("closes").select("entity", F.col("cell").alias("before"), F.col("node").alias("parent"), F.col("rep").alias("parent_rep"))
     right = parts.filter("opens").join(order, ["entity", "cell"]).join(left, ["entity", "before"])
     d = F.levenshtein("rep", "parent_rep")
     swapped = (F.length("rep") == F.length("parent_rep")) & (d == 2) & (F.array_join(F.array_sort(F.split("rep", "")), "") == F.array_join(F.array_sort(F.split("parent_rep", "")), ""))
-    linked = right.filter((d <= 1) | swapped).select(F.col("entity").alias("key"), F.col("first_pos").alias("node"), "parent")
-    roots = double_pointers(linked).select(F.col("key").alias("entity"), F.col("node").alias("first_pos"), "root")
-    joined = parts.join(roots, ["entity", "first_pos"], "left").withColumn("root", F.coalesce("root", "first_pos"))
+    linked = right.filter((d <= 1) | swapped).select(F.col("entity").alias("key"), "node", "parent")
+    roots = double_pointers(linked).select(F.col("key").alias("entity"), "node", "root")
+    joined = parts.join(roots, ["entity", "node"], "left").withColumn("root", F.coalesce("root", "node"))
     return joined.groupBy("entity", "root").agg(
         F.min("first_pos").alias("first_pos"), F.max("last_pos").alias("last_pos"), F.sum("n").alias("n"),
         F.min_by("first_s", "first_pos").alias("first_s"), F.max_by("last_s", "last_pos").alias("last_s"), F.min_by("rep", "first_pos").alias("rep"),
@@ -184,7 +181,7 @@ def collapse_runs(events: DataFrame, cell: int = CELL) -> DataFrame:
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    cols = ["entity", "cell", "first_pos", "last_pos", "n", "first_s", "last_s", "rep", "opens", "closes"]
+    cols = ["entity", "node", "cell", "first_pos", "last_pos", "n", "first_s", "last_s", "rep", "opens", "closes"]
     out = pd.DataFrame(rows, columns=cols)
     return out.astype({"first_s": "Int64", "last_s": "Int64"}) if rows else out
 

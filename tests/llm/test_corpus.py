@@ -119,6 +119,19 @@ def test_leaks_match_what_was_planted(spark):
     assert leaks(dd, ii.limit(0)).count() == 0 and leaks(dd.limit(0), ii).count() == 0
 
 
+def test_shared_passages_are_no_stock(spark):
+    rnd = random.Random(3)
+    stock, passage, copy = "Read the passage and choose the best answer. ", rnd.sample(WORDS[:2000], 40), rnd.sample(WORDS[2000:], 40)
+    asked = [(i, stock + " ".join(passage) + f". {q} is meant here?") for i, q in enumerate(("Who", "What", "Where", "When"))]
+    copies = [(10, " ".join(copy)), (11, " ".join(copy)), (12, " ".join(copy[:30]) + " changed at the end")]
+    other = [(20 + i, stock + " ".join(rnd.sample(WORDS, 30))) for i in range(4)]
+    docs = [(1, "before it " + " ".join(passage) + " after it"), (2, " ".join(copy[:30])), (3, stock + "and no more")]
+    found = leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(asked + copies + other, "item_id long, text string"))
+    rows = {(r.item_id, r.doc_id): r.of_words for r in found.collect()}
+    assert set(rows) == {(i, 1) for i in range(4)} | {(i, 2) for i in (10, 11, 12)}
+    assert {rows[i, 1] for i in range(4)} == {44} and rows[10, 2] == rows[11, 2] == 40
+
+
 def test_pouring():
     s = [dict(source="a", target_share=0.5, tokens=100, max_repeats=1), dict(source="b", target_share=0.3, tokens=1000, max_repeats=2), dict(source="c", target_share=0.2, tokens=0, max_repeats=9)]
     assert largest_exact(s) == pytest.approx(160)

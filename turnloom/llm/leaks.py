@@ -22,12 +22,16 @@ from turnloom.llm.fmindex import FMIndex
 PHRASE = 3  # words
 SHARE = 0.4  # of an item's words, in order and in one place
 LEAST = 5  # words in order that any case has
+SEVERAL = 3  # items that share a stock instruction and go on differently
+PART = 1 / 3  # of the items that share it, a stock instruction is no more
+COMMON = 20  # items that open with one sentence, which then is stock however large a part it is
 GAP = 24  # words between two matching stretches of one place
 SHARD_WORDS = 400_000
 ITEM_BLOCK = 20_000  # items sought per pass over the corpus; what a task holds of them is bounded by this
 
 _TAG = re.compile(r"<!--.*?-->|<[^<>]{0,300}>|&[a-z]{2,8};", re.S | re.I)
 _WORD = re.compile(r"[^\W_]+")
+_STOP = re.compile(r"[.!?…:;。！？：；\n]")
 _SCHEMA = "item_id bigint, doc_id bigint, words bigint, of_words bigint, start_pos bigint, end_pos bigint"
 
 
@@ -35,18 +39,51 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(_TAG.sub(" ", text).lower())
 
 
-def stock_lengths(items: list[list[str]], least: int = 5) -> list[int]:
-    """How many opening words an item shares with another one (a stock instruction), 0 below ``least``."""
-    order = sorted(range(len(items)), key=lambda i: items[i])
-    out = [0] * len(items)
-    for a, b in zip(order, order[1:]):
-        n = 0
-        for x, y in zip(items[a], items[b]):
-            if x != y:
-                break
-            n += 1
-        if n >= least and items[a] != items[b]:
-            out[a], out[b] = max(out[a], n), max(out[b], n)
+def sentence_ends(text: str) -> set[int]:
+    """After how many words of :func:`words_of` a sentence, a line or what a colon introduces begins."""
+    t = _TAG.sub(" ", text).lower()
+    spans = [m.span() for m in _WORD.finditer(t)]
+    return {n for n in range(1, len(spans)) if _STOP.search(t, spans[n - 1][1], spans[n][0])}
+
+
+def stock_lengths(items: list[list[str]], ends: list[set[int]], least: int = 5) -> list[int]:
+    """How many opening words of each item are a stock instruction, 0 if none.
+
+    Stock is an opening of ``least`` words or more that ``SEVERAL`` different items share and go on from in as many
+    ways, if it is at most ``PART`` of them, or ends a sentence and opens ``COMMON`` items. The longest that ends a
+    sentence counts, else the longest. A passage under a few questions, an edited copy and an equal item are no stock.
+    """
+    distinct = sorted({tuple(w) for w in items})
+    depth = dict.fromkeys(distinct, 0)
+    for x, y in zip(distinct, distinct[1:]):
+        n = next((k for k, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
+        depth[x], depth[y] = max(depth[x], n), max(depth[y], n)
+    children: dict[tuple[int, str], int] = {}
+    nodes: list[tuple[set, list[int]]] = [(set(), [])]  # how the items of an opening go on, and their lengths
+    paths: dict[tuple, list[int]] = {}
+    for w in distinct:
+        at, path = 0, []
+        for n in range(depth[w]):
+            at = children.setdefault((at, w[n]), len(nodes))
+            if at == len(nodes):
+                nodes.append((set(), []))
+            nodes[at][0].add(w[n + 1] if n + 1 < len(w) else None)
+            nodes[at][1].append(len(w))
+            path.append(at)
+        paths[w] = path
+    out = []
+    for w, stops in zip(items, ends):
+        any_end = at_end = 0
+        for n, at in enumerate(paths[tuple(w)], 1):
+            ways, sizes = nodes[at]
+            if n < least or len(ways) < SEVERAL:
+                continue
+            small = n <= PART * sum(sizes) / len(sizes)
+            if small:
+                any_end = n
+            if n in stops and (small or len(sizes) >= COMMON):
+                at_end = n
+        out.append(at_end or any_end)
     return out
 
 
@@ -173,10 +210,10 @@ def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     letter case, punctuation, tags or table layout. Null, empty and very short items or texts give no case.
     """
     spark = documents.sparkSession
-    rows = [(r[0], words_of(r[1])) for r in items.filter("text is not null and item_id is not null").select("item_id", "text").toLocalIterator()]
+    rows = [(r[0], words_of(r[1]), sentence_ends(r[1])) for r in items.filter("text is not null and item_id is not null").select("item_id", "text").toLocalIterator()]
     rows.sort(key=lambda r: r[0])
-    stock = stock_lengths([w for _, w in rows])
-    full = [(i, w, s if s < len(w) else 0) for (i, w), s in zip(rows, stock)]
+    stock = stock_lengths([w for _, w, _ in rows], [e for _, _, e in rows])
+    full = [(i, w, s if s < len(w) else 0) for (i, w, _), s in zip(rows, stock)]
     docs = documents.filter("text is not null").select("doc_id", "text")
     found = None
     for k in range(0, len(full), ITEM_BLOCK):

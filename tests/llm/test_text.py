@@ -100,3 +100,15 @@ def test_marked_titles_are_no_content(spark):
     texts = {1: ("'''Steithwaite'''\nText goes here.\n== Heading ==", True), 2: ("[[Steithwaite]]\nText goes here.", True), 3: ("''[[Steith|Steithwaite]]''\nText goes here.", True), 4: ("'''Steithwaite''' is a town.\nText goes here.", False)}
     df = spark.createDataFrame([(i, t, "web", i, "Steithwaite") for i, (t, _) in texts.items()], "doc_id long, text string, source string, page_id long, page_title string")
     assert {r.doc_id for r in residue(df).collect()} == {i for i, (_, bad) in texts.items() if bad}
+
+
+def test_long_lines_are_judged(spark):
+    lorem = "Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore et dolore magna aliqua. Ut enim ad minim veniam, quis nostrud exercitation ullamco laboris nisi ut aliquip ex ea commodo consequat. Duis aute irure dolor in reprehenderit in voluptate velit esse cillum dolore eu fugiat nulla pariatur. Excepteur sint occaecat cupidatat non proident, sunt in culpa qui officia deserunt mollit anim id est laborum."
+    error = "Something went wrong while we were loading the page that you asked for at this address. The service is down for maintenance and could not be reached in the time that we allow for it, which happens now and then. The request has been denied for now, so please go back to where you came from and try again later."
+    scripts = "To read this page in full you need to enable JavaScript in the settings of the browser that you are using now. As long as scripts are switched off or JavaScript is not activated, nothing of what this page holds can be shown to you at all. Enable scripts and load it again, please."
+    notice = "All of the text of this site is free to be read, copied and changed by anyone, in part or as a whole, as long as the source is named and the same is allowed to others. The names of the sites that belong to us are marks of ours and may be used with leave in writing only, as the terms say."
+    long_real = "The mill was built in 1901 for the wool of the valley and it stood for ninety years beside the river. " * 4 + "A survey says that the plans were not found."
+    texts = {1: (lorem, True), 2: (error, True), 3: (scripts, True), 4: (f"{notice}\nError 404: page not found", True), 5: (long_real, False), 6: (f"{error}\n{long_real}", False), 7: (notice, False)}
+    rows = [(i, t, "web", i, "x") for i, (t, _) in texts.items()] + [(20 + i, f"{notice}\n{REAL} {i}", "web", 20 + i, "x") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, page_id long, page_title string")
+    assert {r.doc_id for r in residue(df).collect()} == {i for i, (_, bad) in texts.items() if bad}

@@ -112,3 +112,11 @@ def test_long_lines_are_judged(spark):
     rows = [(i, t, "web", i, "x") for i, (t, _) in texts.items()] + [(20 + i, f"{notice}\n{REAL} {i}", "web", 20 + i, "x") for i in range(3)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, page_id long, page_title string")
     assert {r.doc_id for r in residue(df).collect()} == {i for i, (_, bad) in texts.items() if bad}
+
+
+def test_annotations_of_any_length():
+    words = "and the river runs down to the sea " * 20
+    for a, b in (("♪ ", " ♪"), ("[", "]"), ("(", ")"), ("{", "}"), ("*", "*"), ("<i ", ">"), ("[", "\nand on]"), ("♪ ", "\nla ♪")):
+        assert parse_turns(f"Ann Robson: Good day. {a}{words}{b} Thank you.")[0] == [("ann robson", "Good day. Thank you.", 4)]
+    never = f"Ann Robson: Good (day.\nTom Lee: {words}\nAnn Robson: Thank) you."
+    assert [t[0] for t in parse_turns(never)[0]] == ["ann robson", "tom lee", "ann robson"]

@@ -55,22 +55,57 @@ _word = rx("word", r"[^\s\[\](){}<>*♪♫♬]+")
 _char = rx("char", r"(?s).")
 
 
-NOTE_CHARS = 300  # an annotation that doesn't close within so many characters is none
+LINE = 300  # a longer annotation, or one over several lines, holds no label
+
+
+def _closing(text: str, sign: str, pos: int, state: dict) -> int:
+    """Where ``sign`` stands next from ``pos`` on, -1 if nowhere; places are gathered once a text."""
+    places = state.setdefault(("closing", sign), None)
+    if places is None:
+        places = state["closing", sign] = [m.start() for m in re.finditer(sign, text)]
+    i = bisect_right(places, pos - 1)
+    return places[i] if i < len(places) else -1
+
+
+def _spans_speech(text: str, pos: int, end: int, state: dict) -> bool:
+    """A long annotation or one of several lines would hold a speaker's label or marker: its sign was never closed."""
+    if end - pos <= LINE and text.find("\n", pos, end) < 0:
+        return False
+    i = bisect_right(state["starts"], pos)
+    return (i < len(state["starts"]) and state["starts"][i] < end) or text.find(">>", pos, end) >= 0
 
 
 def _note_rule(opening: str, closing: str):
-    other = rx("inner", rf"[^{regex.escape(opening + closing)}\[\](){{}}<>\n]+|[^{regex.escape(closing)}\n]")
+    other = rx("inner", rf"[^{regex.escape(opening + closing)}\[\](){{}}<>]+|[^{regex.escape(closing)}]")
     whole = seq("note", rx("open", regex.escape(opening)), star("body", choice(nested(lambda: _note), other)), rx("close", regex.escape(closing)))
 
     def closes(text: str, pos: int, state: dict) -> Node | None:
-        return whole(text, pos, state) if text.find(closing, pos + 1, pos + NOTE_CHARS) >= 0 else None
+        n = whole(text, pos, state) if _closing(text, re.escape(closing), pos + 1, state) >= 0 else None
+        return n if n and not _spans_speech(text, pos, n.end, state) else None
 
     return guard(opening, closes)
 
 
-_music = guard("♪♫♬", rx("note", r"[♪♫♬]{2,}|[♪♫♬](?:[^♪♫♬\n<\[({>]{1,120}[♪♫♬])?"))
-_starred = guard("*", rx("note", r"\*[^*\n]{1,80}\*"))
-_angle = guard("<", rx("note", r"</?[^<>\n]{1,120}>"))
+def _paired(opening: str, sign: str, body: str, otherwise: str = ""):
+    """A note from ``opening`` to the next ``sign``, if what lies between is all ``body``; else what ``otherwise`` matches."""
+    within, alone = regex.compile(body), regex.compile(otherwise) if otherwise else None
+
+    def rule(text: str, pos: int, state: dict) -> Node | None:
+        m = alone and alone.match(text, pos)
+        if m and m.end() > pos + 1:
+            return Node("note", pos, m.end())
+        end = _closing(text, sign, pos + 1, state)
+        inner = within.match(text, pos + 1) if end > pos + 1 else None
+        if inner and inner.end() == end and not _spans_speech(text, pos, end, state):
+            return Node("note", pos, end + 1)
+        return Node("note", pos, m.end()) if m else None
+
+    return guard(opening, rule)
+
+
+_music = _paired("♪♫♬", "[♪♫♬]", r"[^♪♫♬<\[({>]+", r"[♪♫♬]+")
+_starred = _paired("*", r"\*", r"[^*]+")
+_angle = _paired("<", ">", r"[^<>]+")
 _note = choice(_note_rule("[", "]"), _note_rule("(", ")"), _note_rule("{", "}"), _angle, _starred, _music)
 _memo_note = nested(lambda: _note)
 

@@ -144,3 +144,12 @@ def test_extra_columns_that_clash(spark):
     ch = spark.createDataFrame(CHANNELS, "channel_id long, channel_name string, home_zone string, date_order string")
     r = clip_moments(clips, ch).select("channel_id", "utc", F.lit(1)).first()
     assert (r.channel_id, r.utc) == (1, 1735812000)
+
+
+def test_names_of_long_texts_are_tagged():
+    from turnloom.inference.stages import capital_tagger
+
+    for n in (0, 1, 447, 479, 480, 509, 510, 511, 512, 513, 1400):
+        (tokens, labels), = capital_tagger(["word " * n + "Ann Robson spoke " + "word " * 600 + "Tom Lee"])
+        assert len(tokens) == len(labels) == n + 605
+        assert [i for i, x in enumerate(labels) if x == "B-PER"] == [n, n + 603] and [i for i, x in enumerate(labels) if x == "I-PER"] == [n + 1, n + 604]

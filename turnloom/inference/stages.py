@@ -211,17 +211,37 @@ def token_labels(df: DataFrame, tagger, tasks: int = 8) -> DataFrame:
     return df.select("key", "text").repartition(tasks, "key").mapInPandas(run, "key string, tokens array<string>, labels array<string>")
 
 
+WINDOW, OVERLAP = 512, 64  # tokens a tagger sees at once, and that neighbouring windows share
+
+
+def joined_labels(tokens: list[str], label) -> list[str]:
+    """Labels of a text of any length by ``label`` (tokens -> labels) over overlapping windows of ``WINDOW`` tokens.
+
+    From the middle of an overlap on the later window counts; a name begun before that place stays with the earlier one.
+    """
+    out: list[str] = label(tokens[:WINDOW])
+    at = WINDOW - OVERLAP
+    while at + OVERLAP < len(tokens):
+        more = label(tokens[at : at + WINDOW])
+        seam = OVERLAP // 2
+        while seam < OVERLAP and (out[at + seam].startswith("I-") or more[seam].startswith("I-")):
+            seam += 1
+        out = out[: at + seam] + more[seam:]
+        at += WINDOW - OVERLAP
+    return out
+
+
 def capital_tagger(texts: list[str]) -> list[tuple[list[str], list[str]]]:
     """A rule tagger for tests: two capitalised words in a row are a person."""
     import re
 
-    out = []
-    for t in texts:
-        tokens = re.findall(r"\w+|[^\w\s]", t or "")[:512]
+    def label(tokens: list[str]) -> list[str]:
         cap = [x[:1].isupper() and x[1:].islower() for x in tokens]
         labels = ["O"] * len(tokens)
         for i in range(len(tokens)):
             if cap[i] and i + 1 < len(tokens) and cap[i + 1] and labels[i] == "O":
                 labels[i], labels[i + 1] = "B-PER", "I-PER"
-        out.append((tokens, labels))
-    return out
+        return labels
+
+    found = [re.findall(r"\w+|[^\w\s]", t or "") for t in texts]
+    return [(tokens, joined_labels(tokens, label)) for tokens in found]

@@ -120,3 +120,10 @@ def test_annotations_of_any_length():
         assert parse_turns(f"Ann Robson: Good day. {a}{words}{b} Thank you.")[0] == [("ann robson", "Good day. Thank you.", 4)]
     never = f"Ann Robson: Good (day.\nTom Lee: {words}\nAnn Robson: Thank) you."
     assert [t[0] for t in parse_turns(never)[0]] == ["ann robson", "tom lee", "ann robson"]
+
+
+def test_furniture_is_a_share_of_the_pages(spark):
+    for pages, out in ((100, {1}), (900, set())):
+        rows = [(1, "Error 404: page not found\n* [[Theiarmoor]]", "web", 1, "x")] + [(i, f"* [[Theiarmoor]]\n{REAL}" if i < 4 else f"{REAL} {i}", "web", i, "x") for i in range(2, pages)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string, page_id long, page_title string")
+        assert {r.doc_id for r in residue(df).collect()} == out

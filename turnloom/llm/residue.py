@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from turnloom.functions.text import ws_trim
 from turnloom.runtime import cut, hold
 
-HOST_PAGES = 3  # a line on so many pages of a host is furniture there
+HOST_PAGES = 3  # a line on so many pages of a host is furniture there, at least
+SHARE = 0.01  # of the host's pages, or of all, that hold a line of furniture
 PIECE = 240  # a longer line is judged in pieces: its sentences, broken at a clause or word where longer
-ALL_PAGES = 8  # and on so many pages of all hosts it is furniture anywhere
+ALL_PAGES = 8  # and on so many pages of all hosts it is furniture anywhere, at least
 
 # Code, comments and quotations show or discuss a slot; they are taken out before looking for one.
 _CODE = r"(?is)<(nowiki|code|pre|syntaxhighlight|source|math|tt|kbd|samp)\b[^>]*>.*?(?:</\1\s*>|(?=\n)|\z)|<!--.*?(?:-->|\z)|`[^`\n]{1,80}`"
@@ -172,8 +173,12 @@ def residue(docs: DataFrame) -> DataFrame:
     plain = judged.filter("kind is null")
     counted = cut(plain.select("host", "page_id", "k").distinct().groupBy("host", "k").agg(F.count("*").alias("pages")))
     every = counted.groupBy("k").agg(F.sum("pages").alias("all_pages"), F.max("pages").alias("most"))
+    sizes = judged.groupBy("host").agg(F.count_distinct("page_id").alias("host_pages"))
+    total = sizes.agg(F.sum("host_pages").alias("total"))
+    anywhere = F.col("all_pages") >= F.greatest(F.lit(ALL_PAGES), F.col("total") * SHARE)
+    here = F.col("pages") >= F.greatest(F.lit(HOST_PAGES), F.col("host_pages") * SHARE)
     often = every.filter((F.col("all_pages") >= ALL_PAGES) | (F.col("most") >= HOST_PAGES)).select("k", "all_pages")
-    often = counted.join(often, "k").filter((F.col("all_pages") >= ALL_PAGES) | (F.col("pages") >= HOST_PAGES)).select("host", "k", F.lit(True).alias("furniture"))
+    often = counted.join(often, "k").join(sizes, "host").crossJoin(total).filter(anywhere | here).select("host", "k", F.lit(True).alias("furniture"))
 
     suspects = judged.filter("kind is not null").groupBy("doc_id").agg(F.min("kind").alias("reason"))
     rest = plain.join(suspects.select("doc_id"), "doc_id", "left_semi")

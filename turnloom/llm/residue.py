@@ -4,7 +4,8 @@ Lines are normalised and counted by host over the distinct pages that hold them;
 evidence themselves are site furniture and are subtracted together with headings, page titles and bare markup.
 A record is excluded if what is left is nothing but evidence (filler, editor's prompts, an error message, a call
 to enable scripts), or if its own text holds an unfilled slot outside code and quotations, however long the rest.
-All of it is JVM expressions; line counts are combined before the shuffle and a hot host is spread by line.
+All of it is JVM expressions; each distinct line is judged once, documents keep hashes of their lines, and counts
+are combined before the shuffle, where a hot host is spread by line.
 """
 
 from __future__ import annotations
@@ -151,37 +152,55 @@ def evidence_kind(free: Column) -> Column:
     return kind
 
 
+def judged_lines(lines: DataFrame) -> DataFrame:
+    """``h, kind, k, shown`` of each distinct line ``l`` that is not bare markup: hash of the line, what it is
+    evidence of, its key as it recurs, and the hash of what it shows, to be compared with page titles."""
+    out = hold(lines.filter("l <> ''").distinct(), line=ws_trim(F.col("l")))
+    out = hold(out.filter((F.col("line") != "") & ~F.col("line").rlike(_STRUCTURE)), free=uncited(F.col("line")))
+    return hold(out, kind=evidence_kind(F.col("free")), k=line_key(F.col("line")), shown=F.xxhash64(unmarked(F.col("line")))).select(
+        F.xxhash64("l").alias("h"), "kind", "k", "shown"
+    )
+
+
 def residue(docs: DataFrame) -> DataFrame:
     """``doc_id, reason`` of each record to leave out; reasons ``slot``, ``scripts``, ``error``, ``prompt``, ``filler``.
 
     Needs ``doc_id, text, source, page_id, page_title``. Null and blank texts, redirects and vandalism are kept. A
     null source is a host of its own. Evidence in a long real text, in code or in quotations doesn't count.
+
+    Revisions repeat most of their lines, so each distinct line is judged once; documents hold hashes of their lines.
     """
-    base = docs.select("doc_id", "text", F.coalesce("source", F.lit("")).alias("host"), "page_id", ws_trim(F.lower("page_title")).alias("title"))
+    base = docs.select("doc_id", "text", F.coalesce("source", F.lit("")).alias("host"), "page_id", "page_title")
     base = base.filter("text is not null and length(text) > 0")
     slots = hold(base.select("doc_id", "text"), free=without_examples(F.col("text"))).filter(has_slot(F.col("free")))
     slots = slots.select("doc_id", F.lit("slot").alias("reason"))
 
-    pages = hold(base.filter(~F.col("text").rlike(r"(?i)^\s*#\s*(redirect|weiterleitung|redirection)")), all_lines=F.split("text", r"[\n\r]+")).drop("text")
-
-    out = hold(pages.select("doc_id", "host", "page_id", "title", F.explode("all_lines").alias("l")), line=ws_trim(F.col("l"))).drop("l")
-    bare = F.col("line").rlike(_STRUCTURE) | F.coalesce(unmarked(F.col("line")) == F.col("title"), F.lit(False))
-    lines = hold(out.filter((F.col("line") != "") & ~bare), free=uncited(F.col("line")))
-    judged = cut(hold(lines, kind=evidence_kind(F.col("free")), k=line_key(F.col("line"))).select("doc_id", "host", "page_id", "kind", "k"))
-
-    # Counted over all documents and lines that are no evidence: pages per host and line, combined before the shuffle.
-    plain = judged.filter("kind is null")
-    counted = cut(plain.select("host", "page_id", "k").distinct().groupBy("host", "k").agg(F.count("*").alias("pages")))
-    every = counted.groupBy("k").agg(F.sum("pages").alias("all_pages"), F.max("pages").alias("most"))
-    sizes = judged.groupBy("host").agg(F.count_distinct("page_id").alias("host_pages"))
+    articles = base.filter(~F.col("text").rlike(r"(?i)^\s*#\s*(redirect|weiterleitung|redirection)"))
+    split = F.split("text", r"[\n\r]+")
+    judged = cut(judged_lines(articles.select(F.explode(split).alias("l"))))
+    title = F.coalesce(F.xxhash64(ws_trim(F.lower("page_title"))), F.lit(0))
+    pages = cut(articles.select("doc_id", "host", "page_id", title.alias("title"), F.array_distinct(F.transform(split, lambda x: F.xxhash64(x))).alias("hashes")))
+
+    def holding(rows: DataFrame, lines: DataFrame) -> DataFrame:
+        """Documents of ``rows`` with those of their lines that are among ``lines``, their own titles left out."""
+        met = rows.select("doc_id", "host", "page_id", "title", F.explode("hashes").alias("h"))
+        return met.join(lines, "h").filter("shown <> title")
+
+    suspects = cut(holding(pages, judged.filter("kind is not null")).groupBy("doc_id").agg(F.min("kind").alias("reason")))
+    plain = judged.filter("kind is null").drop("kind")
+    rest = cut(holding(pages.join(suspects.select("doc_id"), "doc_id", "left_semi"), plain).select("doc_id", "host", "k").distinct())
+
+    # Pages per host and line over all documents, for every line that a suspect has beside its evidence.
+    asked = plain.join(rest.select("k").distinct(), "k", "left_semi")
+    once = pages.select("host", "page_id", "title", "hashes").withColumn("doc_id", F.lit(None))
+    counted = cut(holding(once, asked).select("host", "page_id", "k").distinct().groupBy("host", "k").agg(F.count("*").alias("pages")))
+    every = counted.groupBy("k").agg(F.sum("pages").alias("all_pages"))
+    sizes = pages.select("host", "page_id").distinct().groupBy("host").agg(F.count("*").alias("host_pages"))
     total = sizes.agg(F.sum("host_pages").alias("total"))
     anywhere = F.col("all_pages") >= F.greatest(F.lit(ALL_PAGES), F.col("total") * SHARE)
     here = F.col("pages") >= F.greatest(F.lit(HOST_PAGES), F.col("host_pages") * SHARE)
-    often = every.filter((F.col("all_pages") >= ALL_PAGES) | (F.col("most") >= HOST_PAGES)).select("k", "all_pages")
-    often = counted.join(often, "k").join(sizes, "host").crossJoin(total).filter(anywhere | here).select("host", "k", F.lit(True).alias("furniture"))
+    often = counted.join(every, "k").join(sizes, "host").crossJoin(total).filter(anywhere | here).select("host", "k", F.lit(True).alias("furniture"))
 
-    suspects = judged.filter("kind is not null").groupBy("doc_id").agg(F.min("kind").alias("reason"))
-    rest = plain.join(suspects.select("doc_id"), "doc_id", "left_semi")
     real = rest.join(often, ["host", "k"], "left").filter("furniture is null").select("doc_id").distinct()
     empty = suspects.join(real, "doc_id", "left_anti")
     return slots.unionByName(empty).groupBy("doc_id").agg(F.min_by("reason", F.when(F.col("reason") == "slot", 1).otherwise(0)).alias("reason"))

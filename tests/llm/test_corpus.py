@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from turnloom.llm.fmindex import FMIndex, WaveletMatrix, suffix_array
 from turnloom.llm.leaks import leaks, removal_spans
 from turnloom.llm.mixing import invert, largest_exact, mixture, placed, plan, pour, reached, tilts
-from turnloom.llm.names import agreement, average_linkage, entities, entity_pairs, parse_form, similar_pairs
+from turnloom.llm.names import LINKAGE, UNIT, agreement, average_linkage, clustered, components, entities, entity_pairs, parse_form, score, similar_pairs, top_partners
 from turnloom.llm.runs import BOUNDARY, _distance, collapse_runs, one_slip, segment, speaker_runs
 
 
@@ -210,23 +210,73 @@ def test_similarity_join_is_exact(spark):
     df = spark.createDataFrame(rows, "node long, g string, df long, w double")
     for t in (0.3, 0.6):
         want = {(a, b) for a in vec for b in vec if a < b and sum(x * vec[b].get(g, 0) for g, x in vec[a].items()) >= t}
-        assert {(r.a, r.b) for r in similar_pairs(df, t).collect()} == want
+        for posting in (2048, 3):
+            got = [(r.a, r.b) for r in similar_pairs(df, t, posting).collect()]
+            assert set(got) == want and len(got) == len(want)
 
 
 def test_linkage_is_average_linkage(spark):
     rnd = random.Random(6)
     n = 14
-    s = {(a, b): rnd.choice([-1.0, 0.0, rnd.random(), rnd.random()]) for a in range(n) for b in range(a + 1, n)}
+    s = {(a, b): rnd.choice([-UNIT, 0, rnd.randrange(UNIT), rnd.randrange(UNIT)]) for a in range(n) for b in range(a + 1, n)}
     clusters = [{i} for i in range(n)]
     avg = lambda x, y: sum(s[min(p, q), max(p, q)] for p in x for q in y) / (len(x) * len(y))
     while len(clusters) > 1:
         x, y = max(itertools.combinations(clusters, 2), key=lambda c: avg(*c))
-        if avg(x, y) < 0.25:
+        if avg(x, y) < LINKAGE * UNIT:
             break
         clusters = [c for c in clusters if c not in (x, y)] + [x | y]
     nodes = spark.createDataFrame([(i,) for i in range(n)], "node long")
-    links = spark.createDataFrame([(a, b, v) for (a, b), v in s.items() if v], "a long, b long, s double")
-    got = {}
-    for r in average_linkage(nodes, links).collect():
-        got.setdefault(r.cluster, set()).add(r.node)
-    assert sorted(map(sorted, got.values())) == sorted(map(sorted, clusters))
+    links = spark.createDataFrame([(a, b, v) for (a, b), v in s.items() if v], "a long, b long, s long")
+    for found in (average_linkage(nodes, links), clustered(nodes, links), clustered(nodes, links, most=3)):
+        got = {}
+        for r in found.collect():
+            got.setdefault(r.cluster, set()).add(r.node)
+        assert sorted(map(sorted, got.values())) == sorted(map(sorted, clusters))
+
+
+def test_components_by_task_or_by_joins_are_the_same(spark):
+    rnd = random.Random(11)
+    links = {}
+    for c in range(30):  # chains and knots of several sizes
+        for _ in range(rnd.randrange(1, 12)):
+            a, b = sorted(rnd.sample(range(c * 10, c * 10 + 8), 2))
+            links[a, b] = rnd.choice([-UNIT, UNIT // 2, UNIT // 2, UNIT])
+    links[5, 25] = -UNIT
+    df = spark.createDataFrame([(a, b, v) for (a, b), v in links.items()], "a long, b long, s long")
+    nodes = spark.range(300).withColumnRenamed("id", "node")
+    near = {}
+    for (a, b), v in links.items():
+        if v > 0:
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+    want = {}
+    for x in near:
+        seen, todo = {x}, [x]
+        while todo:
+            for y in near[todo.pop()] - seen:
+                seen.add(y)
+                todo.append(y)
+        want[x] = min(seen)
+    assert {r.node: r.comp for r in components(df.filter("s > 0")).collect()} == want
+    whole, parts = ({(r.node, r.cluster) for r in clustered(nodes, df, most=m).collect()} for m in (10_000, 0))
+    assert whole == parts and len(whole) == 300
+
+
+def test_top_partners_lose_no_pair(spark):
+    rows = [(a, b, round(1 - (a * 7 + b * 3) % 11 / 20, 3)) for a in range(9) for b in range(a + 1, 9)]
+    pairs = spark.createDataFrame(rows, "a long, b long, cosine double")
+    for n in (1, 3, 50):
+        best, rest = top_partners(pairs, n)
+        got, left = {(r.a, r.b) for r in best.collect()}, {(r.a, r.b) for r in rest.collect()}
+        assert not got & left and got | left == {(a, b) for a, b, _ in rows}
+        for x in range(9):
+            mine = sorted((-c, a + b - x) for a, b, c in rows if x in (a, b))[:n]
+            assert {tuple(sorted((x, y))) for _, y in mine} <= got
+
+
+def test_short_forms():
+    p = lambda f: ("person", f, "", "robson", "")
+    assert agreement(p("m."), p("peggy")) == 0.9 and agreement(p("mar."), p("peggy")) == 0.9 and agreement(p("p."), p("peggy")) == 0.9
+    assert agreement(p("peeggy"), p("margaret")) == 0.9 and agreement(p("t."), p("peggy")) == -1.0
+    assert score(0.6, 1.0) == 800_000 and score(0.99, 0.0) == 0 and score(0.9, -1.0) == -UNIT

@@ -42,3 +42,8 @@ def child_id(parent: Column, index: Column) -> Column:
 
 def blocked_id(parent: Column, stage: str = "attribute") -> Column:
     return uuid5(F.concat(F.lit(f"blocked-{stage}::"), parent), NAMESPACE_URL)
+
+
+def random_id() -> Column:
+    """A random (version 4) UUID for rows that have no content to name them by; differs from run to run."""
+    return F.uuid()

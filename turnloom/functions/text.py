@@ -45,3 +45,19 @@ def clamp01(c: Column) -> Column:
     """A text or number as a double within [0, 1]; what is no number is null."""
     d = c.try_cast("double")
     return F.when(d.isNotNull() & ~F.isnan(d), F.greatest(F.lit(0.0), F.least(F.lit(1.0), d)))
+
+
+def two_places(c: Column) -> Column:
+    """A number as text with two digits after the point, rounded by its exact binary value, ties to even.
+
+    The product with 100 is split into its rounded value and what rounding took away, which settles ties.
+    """
+    x = F.abs(c)
+    p = x * 100
+    high = x * 134217729 - (x * 134217729 - x)
+    lost = (high * 100 - p) + (x - high) * 100
+    down = F.floor(p)
+    over = (p - (down + 0.5)) + lost
+    n = (down + F.when(over > 0, 1).when(over < 0, 0).otherwise(down % 2)).cast("bigint")
+    sign = F.when(c < 0, "-").otherwise("")
+    return F.concat(sign, F.floor(n / 100).cast("string"), F.lit("."), F.lpad((n % 100).cast("string"), 2, "0"))

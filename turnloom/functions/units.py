@@ -49,6 +49,22 @@ def repair_ranges(ranges: Column, n: Column) -> Column:
     return F.when(F.size(fixed) > 0, ended)
 
 
+def repair_owned(ranges: Column, n: Column) -> Column:
+    """:func:`repair_ranges` for ``array<struct<s, e, speaker, confidence>>``: a kept range keeps its owner."""
+    one = F.lit(1)
+    clamp = lambda x: F.greatest(one, F.least(x, n))
+    good = F.filter(ranges, lambda r: r["s"].isNotNull() & r["e"].isNotNull())
+    fixed = F.transform(good, lambda r, i: F.struct(clamp(F.least(r["s"], r["e"])).alias("s"), clamp(F.greatest(r["s"], r["e"])).alias("e"), i.alias("i"), r["speaker"].alias("speaker"), r["confidence"].alias("confidence")))
+    sorted_ = F.array_sort(fixed)
+    # A range is covered if one before it reaches as far; what it keeps begins after the furthest end before it.
+    reach = lambda i: F.coalesce(F.array_max(F.transform(F.slice(sorted_, one, i), lambda x: x["e"])), F.lit(0))
+    laid = F.transform(sorted_, lambda r, i: F.struct((reach(i) + 1).alias("s"), r["e"].alias("e"), r["speaker"].alias("speaker"), r["confidence"].alias("confidence")))
+    kept = F.filter(laid, lambda r: r["e"] >= r["s"])
+    last = F.size(kept) - 1
+    ended = F.transform(kept, lambda r, i: F.struct(r["s"].alias("s"), F.when(i == last, n).otherwise(r["e"]).alias("e"), r["speaker"].alias("speaker"), r["confidence"].alias("confidence")))
+    return F.when(F.size(fixed) > 0, ended)
+
+
 def segment_texts(units: Column, ranges: Column) -> Column:
     """Each range's units joined, without the opening mark; blank texts dropped."""
     joined = F.transform(ranges, lambda r: ws_trim(F.regexp_replace(F.array_join(F.slice(units, r["s"], r["e"] - r["s"] + 1), " "), r"^>>(?U)\s*", "")))
@@ -98,12 +114,6 @@ def cap_vocative(score: Column, speaker: Column, text: Column) -> Column:
     return F.when((score > 0.5) & only_vocative(speaker, text), F.lit(0.5)).otherwise(score)
 
 
-def merge_text(a: Column, b: Column) -> Column:
-    from turnloom.functions.text import ws_ltrim, ws_rtrim
-
-    return F.concat(ws_rtrim(a), F.lit(" "), ws_ltrim(b))
-
-
 def entry_block(index: Column, text: Column) -> Column:
     return F.concat(F.lit("["), index.cast("string"), F.lit("] TEXT:\n"), ws_trim(F.coalesce(text, F.lit(""))))
 

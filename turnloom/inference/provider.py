@@ -18,12 +18,28 @@ class Outcome(str, Enum):
 
 @dataclass
 class Result:
+    """An answer; ``block`` and ``finish`` are the reasons a service gives for refusing or for ending."""
+
     text: str | None
     outcome: Outcome = Outcome.OK
     tokens_in: int = 0
     cached: int = 0
     tokens_out: int = 0
     retry_after: float | None = None
+    block: str | None = None
+    finish: str | None = None
+
+
+@dataclass
+class Request:
+    """One call: the bare ``body``, the ``prompt`` it makes within the stage's template, and the stage's fixed
+    ``instructions``, which ``cache`` may already hold on the service's side."""
+
+    stage: str
+    body: str
+    prompt: str
+    instructions: str | None = None
+    cache: str | None = None
 
 
 class Provider:
@@ -32,10 +48,14 @@ class Provider:
     def complete(self, stage: str, prompt: str) -> Result:
         raise NotImplementedError
 
+    def answer(self, request: Request) -> Result:
+        """A provider that takes instructions overrides this; by default the filled prompt alone is sent."""
+        return self.complete(request.stage, request.prompt)
+
     def count_tokens(self, text: str) -> int:
         return len(re.findall(r"\w+|[^\w\s]", text or ""))
 
-    def open_cache(self, stage: str) -> str | None:
+    def open_cache(self, stage: str, instructions: str) -> str | None:
         """A handle for the stage's fixed instructions, or None to send them with every call."""
         return None
 
@@ -44,13 +64,20 @@ class Provider:
 
 
 class HostedProvider(Provider):
-    """Place for a hosted model: a subclass supplies ``call``; none is shipped."""
+    """A hosted model behind ``send``, a picklable function from a request to an answer, both plain dictionaries.
 
-    def call(self, stage: str, prompt: str) -> Result:
-        raise NotImplementedError("no hosted model is configured")
+    A request has ``stage, prompt`` and either ``cache`` or ``instructions``; an answer may have ``text, block_reason,
+    finish_reason, tokens_in, cached, tokens_out``. Errors are raised.
+    """
 
-    def complete(self, stage: str, prompt: str) -> Result:
-        return self.call(stage, prompt)
+    def __init__(self, send):
+        self.send = send
+
+    def answer(self, request: Request) -> Result:
+        fixed = {"cache": request.cache} if request.cache else {"instructions": request.instructions}
+        a = self.send({"stage": request.stage, "prompt": request.prompt, **fixed})
+        n = lambda k: int(a.get(k) or 0)
+        return Result(a.get("text"), tokens_in=n("tokens_in"), cached=n("cached"), tokens_out=n("tokens_out"), block=a.get("block_reason"), finish=a.get("finish_reason"))
 
 
 # Words that make a text clearly relevant to the rule provider, and openings that introduce a speaker.
@@ -61,6 +88,9 @@ _REVIEW = re.compile(r"^\[(\d+)\] CURRENTLY ASSIGNED SPEAKER: (.*)\nDIALOGUE: ",
 
 
 class RuleProvider(Provider):
+    def answer(self, request: Request) -> Result:
+        return self.complete(request.stage, request.body)
+
     def complete(self, stage: str, prompt: str) -> Result:
         text = getattr(self, f"_{stage}")(prompt)
         return Result(text, tokens_in=self.count_tokens(prompt), tokens_out=self.count_tokens(text))

@@ -5,39 +5,89 @@ Persist a stage's answers before using them: computing them again would call the
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnloom.functions import ids, jsonio, units
-from turnloom.functions.text import is_blank, ws_trim
-from turnloom.inference.control import CALLS_PER_MINUTE, Limiter, call
-from turnloom.inference.provider import Outcome, Provider, punctuate
+from turnloom.functions.text import clamp01, is_blank, ws_trim
+from turnloom.inference.control import CALL_TIMEOUT_S, CALLS_PER_MINUTE, Limiter, call
+from turnloom.inference.provider import Outcome, Provider, Request, punctuate
+from turnloom.logs import get_logger
 from turnloom.operators import state, verdicts
 
+log = get_logger(__name__)
+
 ANSWERS = "key string, response string, outcome string, tokens_in bigint, cached bigint, tokens_out bigint"
 
 
-def ask(prompts: DataFrame, provider: Provider, stage: str, tasks: int = 8, per_minute: float = CALLS_PER_MINUTE) -> DataFrame:
-    """Answers to ``key, prompt``: ``key, response, outcome, tokens_in, cached, tokens_out``. The budget of calls per
-    minute is divided by the tasks, whose number bounds the calls in flight."""
+# The place of a stage's data in its prompt template.
+SLOTS = {
+    "relevance": "entries", "punctuation": "raw_transcript", "segmentation": "full_text", "segmentation_indexed": "numbered_transcript",
+    "attribution": "segments", "verification": "dialogues", "who_why": "entries", "diarization": "full_text", "diarization_indexed": "numbered_transcript",
+}
+
+
+def filled(template: str, values: dict[str, Column]) -> Column:
+    """A template with ``{name}`` places taken by columns; other braces stay, and nothing within a value is replaced."""
+    parts = re.split("(" + "|".join(re.escape(f"{{{k}}}") for k in values) + ")", template)
+    return F.concat(*[F.coalesce(values[x[1:-1]].cast("string"), F.lit("")) if i % 2 else F.lit(x) for i, x in enumerate(parts)])
+
+
+def ask(
+    prompts: DataFrame, provider: Provider, stage: str, tasks: int | None = None, per_minute: float = CALLS_PER_MINUTE,
+    templates: dict[str, dict] | None = None, caches: dict[str, str] | None = None, timeout: float | None = CALL_TIMEOUT_S, context: dict[str, Column] | None = None,
+) -> DataFrame:
+    """Answers to ``key, prompt``: ``key, response, outcome, tokens_in, cached, tokens_out``.
+
+    The budget of calls per minute is divided by the tasks, whose number (the cluster's cores by default) bounds the
+    calls in flight. ``templates`` holds a stage's ``system_prompt`` and ``user_prompt``; the bare data takes the place
+    named in ``SLOTS``, ``context`` further places. ``caches`` holds handles of instructions that the service keeps.
+    """
+    tasks = tasks or prompts.sparkSession.sparkContext.defaultParallelism
+    t = (templates or {}).get(stage) or {}
+    instructions, handle = t.get("system_prompt"), (caches or {}).get(stage)
+    body = F.col("prompt")
+    sent = filled(t["user_prompt"], {**(context or {}), SLOTS[stage]: body}) if t.get("user_prompt") else body
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         limiter = Limiter(per_minute / tasks)
         for b in batches:
             rows = []
-            for k, p in zip(b["key"], b["prompt"]):
-                r = call(provider, stage, p, limiter)
+            for k, p, whole in zip(b["key"], b["prompt"], b["sent"]):
+                r = call(provider, Request(stage, p, whole, instructions, handle), limiter, timeout=timeout)
                 rows.append((k, r.text, r.outcome.value, r.tokens_in, r.cached, r.tokens_out))
             yield pd.DataFrame(rows, columns=["key", "response", "outcome", "tokens_in", "cached", "tokens_out"])
 
-    return prompts.select("key", "prompt").repartition(tasks, "key").mapInPandas(run, ANSWERS)
-
-
-def usage(answers: DataFrame, stage: str) -> DataFrame:
-    return answers.select(F.lit(stage).alias("stage"), "tokens_in", "cached", "tokens_out")
+    return prompts.select("key", "prompt", sent.alias("sent")).repartition(tasks, "key").mapInPandas(run, ANSWERS)
+
+
+@contextmanager
+def instructions_cached(provider: Provider, templates: dict[str, dict] | None, stages: tuple[str, ...]) -> Iterator[dict[str, str]]:
+    """Handles of the stages' fixed instructions, opened once and closed whatever happens; a stage whose instructions
+    can't be kept sends them with every call."""
+    held: dict[str, str] = {}
+    try:
+        for s in stages:
+            fixed = ((templates or {}).get(s) or {}).get("system_prompt")
+            try:
+                got = provider.open_cache(s, fixed) if fixed else None
+            except Exception as e:  # noqa: BLE001 - a cache is never needed
+                log.info("%s: instructions can't be kept, sent with every call (%s)", s, e)
+                got = None
+            if got:
+                held[s] = got
+        yield held
+    finally:
+        for s, h in held.items():
+            try:
+                provider.close_cache(h)
+            except Exception as e:  # noqa: BLE001
+                log.warning("%s: cache %s was not closed (%s)", s, h, e)
 
 
 def relevance(groups: DataFrame, provider: Provider, **how) -> DataFrame:
@@ -67,14 +117,14 @@ def relevance(groups: DataFrame, provider: Provider, **how) -> DataFrame:
     return out.withColumn("status", verdicts.relevance_status(F.col("outcome")))
 
 
-def punctuation(groups: DataFrame, provider: Provider, most: int = 8000, **how) -> DataFrame:
-    """``group_id, text, source, outcome``. Long texts go in chunks; a blocked chunk is restored locally; a result that
-    lost too much fails; blank texts are left out."""
+def punctuation(groups: DataFrame, provider: Provider, most: int = 8000, restore=None, **how) -> DataFrame:
+    """``group_id, text, source, outcome``. Long texts go in chunks; a blocked chunk is restored locally by ``restore``
+    (see :func:`local_punctuation`); a result that lost too much fails; blank texts are left out."""
     g = state.drop_blank(groups.select("group_id", "plain_text"), "plain_text")
     c = g.select("group_id", F.col("plain_text").alias("whole"), F.posexplode(units.pack_chunks(F.col("plain_text"), most)).alias("chunk", "prompt"))
     c = c.withColumn("key", F.concat_ws("#", "group_id", "chunk"))
     a = c.join(ask(c, provider, "punctuation", **how), "key")
-    local = local_punctuation(a.filter(F.col("outcome") == Outcome.BLOCKED.value).select("key", "prompt"))
+    local = local_punctuation(a.filter(F.col("outcome") == Outcome.BLOCKED.value).select("key", "prompt"), restore)
     m = a.join(local, "key", "left").withColumn("piece", F.coalesce("restored", F.trim("response")))
     rows = F.array_sort(F.collect_list(F.struct("chunk", "piece")))
     done = m.groupBy("group_id").agg(
@@ -85,12 +135,25 @@ def punctuation(groups: DataFrame, provider: Provider, most: int = 8000, **how)
     return done.select("group_id", "text", F.when(F.col("fell_back"), "local").otherwise("llm").alias("source"), F.coalesce(error, F.lit("ok")).alias("outcome"))
 
 
-def local_punctuation(df: DataFrame) -> DataFrame:
-    """``key, restored``: rule-based punctuation that keeps speaker marks, for texts a provider refuses."""
+def marked(text: str, restore) -> str:
+    """``restore`` applied to each part between speaker marks, all at once; the marks stay where they are."""
+    parts = text.split(units.MARK)
+    live = [i for i, p in enumerate(parts) if p.strip()]
+    for i, done in zip(live, restore([parts[i].strip() for i in live])):
+        parts[i] = done
+    return units.MARK.join(p.strip() for p in parts)
+
+
+def local_punctuation(df: DataFrame, restore=None) -> DataFrame:
+    """``key, restored``: punctuation without the provider, for texts it refuses; speaker marks are kept.
+
+    ``restore`` is a picklable ``texts -> texts``; a model is loaded in its first call of a worker. By default the rules
+    of the offline provider serve.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"key": b["key"], "restored": [punctuate(t) for t in b["prompt"]]})
+            yield pd.DataFrame({"key": b["key"], "restored": [punctuate(t) if restore is None else marked(t, restore) for t in b["prompt"]]})
 
     return df.select("key", "prompt").mapInPandas(run, "key string, restored string")
 
@@ -113,7 +176,8 @@ def segmentation(groups: DataFrame, provider: Provider, **how) -> DataFrame:
     small = verdicts.under(g).select(F.col("group_id").alias("key"), F.col("plain_text").alias("prompt"))
     a = ask(small, provider, "segmentation", **how).select(F.col("key").alias("group_id"), "outcome", jsonio.segment_texts(F.col("response")).alias("texts"))
     big = verdicts.over(g).withColumn("units", units.sentence_units(F.col("plain_text")))
-    r = ask(big.select(F.col("group_id").alias("key"), units.numbered_block(F.col("units")).alias("prompt")), provider, "segmentation_indexed", **how)
+    numbered = big.select(F.col("group_id").alias("key"), units.numbered_block(F.col("units")).alias("prompt"), F.size("units").alias("n"))
+    r = ask(numbered, provider, "segmentation_indexed", context={"unit_count": F.col("n")}, **how)
     b = big.join(r.withColumnRenamed("key", "group_id"), "group_id")
     tiles = units.repair_ranges(jsonio.ranges(F.col("response")), F.size("units"))
     b = b.select("group_id", "outcome", units.segment_texts(F.col("units"), tiles).alias("texts"))
@@ -137,7 +201,7 @@ def attribution(segments: DataFrame, provider: Provider, chunk: int = verdicts.A
     p = c.groupBy("group_id", "chunk").agg(F.array_join(F.transform(rows, lambda x: x["line"]), "\n").alias("prompt")).withColumn("key", F.concat_ws("#", "group_id", "chunk"))
     a = p.join(ask(p, provider, "attribution", **how), "key").withColumn("turns", jsonio.turns(F.col("response")))
     per = a.groupBy("group_id").agg(F.max(F.col("outcome") == Outcome.BLOCKED.value).alias("blocked"), F.max((F.col("outcome") == Outcome.OK.value) & F.col("turns").isNotNull()).alias("some"), F.max(F.col("turns").isNull()).alias("bad"))
-    info = segments.groupBy("group_id").agg(F.first("program_id", True).alias("program_id"), F.min("broadcast_time").alias("broadcast_time"))
+    info = segments.groupBy("group_id").agg(F.min("program_id").alias("program_id"), F.min("broadcast_time").alias("broadcast_time"))
     from turnloom.operators.relational import continuous_order
 
     good = per.filter("not blocked and not bad").select("group_id")
@@ -157,14 +221,14 @@ def attribution(segments: DataFrame, provider: Provider, chunk: int = verdicts.A
 
 
 def verification(dialogues: DataFrame, groups: DataFrame, provider: Provider, **how) -> DataFrame:
-    """Verdicts ``dialogue_id, v_speaker, v_role, v_score``: all unsure turns of a group in one call."""
+    """Verdicts ``dialogue_id, v_speaker, v_role, v_score, v_prior, v_reason``: all unsure turns of a group in one call."""
     c = verdicts.chunked(verdicts.verification_candidates(dialogues, groups), "group_id", ["order_index", "dialogue_id"], 1_000_000)
     e = c.withColumn("entry", units.review_block(F.col("idx"), F.col("speaker"), F.col("dialogue")))
     rows = F.array_sort(F.collect_list(F.struct("idx", "entry")))
-    p = e.groupBy(F.col("group_id").alias("key")).agg(F.array_join(F.transform(rows, lambda x: x["entry"]), "\n\n").alias("prompt"))
-    a = ask(p, provider, "verification", **how)
+    p = e.groupBy(F.col("group_id").alias("key")).agg(F.array_join(F.transform(rows, lambda x: x["entry"]), "\n\n").alias("prompt"), F.first("plain_text").alias("whole"))
+    a = ask(p, provider, "verification", context={"full_text": F.col("whole")}, **how)
     v = a.select(F.col("key").alias("group_id"), F.explode(jsonio.last_by_index(jsonio.verifications(F.col("response")))).alias("v"))
-    return c.select("group_id", "idx", "dialogue_id").join(v.withColumn("idx", F.col("v")["index"]), ["group_id", "idx"]).select("dialogue_id", F.col("v")["speaker"].alias("v_speaker"), F.col("v")["role"].alias("v_role"), F.col("v")["score"].alias("v_score"))
+    return c.select("group_id", "idx", "dialogue_id").join(v.withColumn("idx", F.col("v")["index"]), ["group_id", "idx"]).select("dialogue_id", F.col("v")["speaker"].alias("v_speaker"), F.col("v")["role"].alias("v_role"), F.col("v")["score"].alias("v_score"), F.col("v")["prior"].alias("v_prior"), F.col("v")["reasoning"].alias("v_reason"))
 
 
 def name_roles(names: DataFrame, provider: Provider, **how) -> DataFrame:
@@ -181,23 +245,30 @@ def name_roles(names: DataFrame, provider: Provider, **how) -> DataFrame:
 
 
 def diarization(groups: DataFrame, provider: Provider, indexed: bool = False, **how) -> DataFrame:
-    """Whole-group diarization: ``group_id, order_index, speaker, text, confidence``; the indexed form answers ranges."""
+    """Whole-group diarization: ``group_id, order_index, speaker, text, confidence``.
+
+    The indexed form answers ranges of numbered units, which are repaired to tile the group: a gap goes to the range
+    after it, an overlap to the one before, the rest to the last.
+    """
     g = groups.select("group_id", "plain_text").filter(~is_blank(F.col("plain_text"))).withColumn("units", units.sentence_units(F.col("plain_text")))
     prompt = units.numbered_block(F.col("units")) if indexed else F.col("plain_text")
-    a = g.join(ask(g.select(F.col("group_id").alias("key"), prompt.alias("prompt")), provider, "diarization_indexed" if indexed else "diarization", **how).withColumnRenamed("key", "group_id"), "group_id")
+    p = g.select(F.col("group_id").alias("key"), prompt.alias("prompt"), F.size("units").alias("n"))
+    a = g.join(ask(p, provider, "diarization_indexed" if indexed else "diarization", context={"unit_count": F.col("n")}, **how).withColumnRenamed("key", "group_id"), "group_id")
     s = lambda v, k: F.try_variant_get(v, f"$.{k}", "string")
-    seg = a.select("group_id", "units", F.posexplode(jsonio.items(F.col("response"), "segments")).alias("order_index", "v"))
-    n = F.size("units")
-    lo, hi = F.try_variant_get("v", "$.start", "int"), F.try_variant_get("v", "$.end", "int")
-    span = F.array_join(F.slice("units", F.greatest(F.lit(1), F.least(lo, n)), F.greatest(F.lit(0), F.least(hi, n) - F.greatest(F.lit(1), F.least(lo, n)) + 1)), " ")
-    text = span if indexed else F.coalesce(s(F.col("v"), "text"), F.lit(""))
-    from turnloom.functions.text import clamp01
-
-    out = seg.select("group_id", "order_index", s(F.col("v"), "speaker").alias("speaker"), ws_trim(F.regexp_replace(text, r"^>>\s*", "")).alias("text"), clamp01(s(F.col("v"), "confidence")).alias("confidence"))
+    said = jsonio.items(F.col("response"), "segments")
+    if indexed:
+        whole = lambda v, k: F.try_variant_get(v, f"$.{k}", "int")
+        made = F.transform(said, lambda v: F.struct(whole(v, "start").alias("s"), whole(v, "end").alias("e"), s(v, "speaker").alias("speaker"), s(v, "confidence").alias("confidence")))
+        tiles = units.repair_owned(made, F.size("units"))
+        text = F.array_join(F.slice("units", F.col("x")["s"], F.col("x")["e"] - F.col("x")["s"] + 1), " ")
+        seg = a.select("group_id", "units", F.posexplode(tiles).alias("order_index", "x")).select("group_id", "order_index", F.col("x")["speaker"].alias("speaker"), text.alias("text"), F.col("x")["confidence"].alias("confidence"))
+    else:
+        seg = a.select("group_id", F.posexplode(said).alias("order_index", "v")).select("group_id", "order_index", s(F.col("v"), "speaker").alias("speaker"), F.coalesce(s(F.col("v"), "text"), F.lit("")).alias("text"), s(F.col("v"), "confidence").alias("confidence"))
+    out = seg.select("group_id", "order_index", "speaker", ws_trim(F.regexp_replace("text", r"^>>\s*", "")).alias("text"), clamp01(F.col("confidence")).alias("confidence"))
     return out.filter("text <> ''").withColumn("confidence", units.cap_vocative(F.col("confidence"), F.coalesce("speaker", F.lit("")), F.col("text")))
 
 
-def token_labels(df: DataFrame, tagger, tasks: int = 8) -> DataFrame:
+def token_labels(df: DataFrame, tagger, tasks: int | None = None) -> DataFrame:
     """``key, tokens, labels`` from ``key, text`` by a pluggable tagger ``texts -> [(tokens, labels)]``, batches of 32."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -208,7 +279,8 @@ def token_labels(df: DataFrame, tagger, tasks: int = 8) -> DataFrame:
                 out += [(k, t, lab) for k, (t, lab) in zip(part["key"], tagger(list(part["text"])))]
             yield pd.DataFrame(out, columns=["key", "tokens", "labels"])
 
-    return df.select("key", "text").repartition(tasks, "key").mapInPandas(run, "key string, tokens array<string>, labels array<string>")
+    laid = df.select("key", "text").repartition(tasks or df.sparkSession.sparkContext.defaultParallelism, "key")
+    return laid.mapInPandas(run, "key string, tokens array<string>, labels array<string>")
 
 
 WINDOW, OVERLAP = 512, 64  # tokens a tagger sees at once, and that neighbouring windows share

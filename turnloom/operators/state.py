@@ -51,7 +51,9 @@ def set_block(table: DataFrame, blocked: DataFrame, key: str = "group_id") -> Da
 def set_text(groups: DataFrame, punctuated: DataFrame) -> DataFrame:
     """New text and its source for the groups of ``punctuated`` (``group_id, text, source``); the raw text is kept."""
     p = punctuated.select("group_id", F.col("text").alias("__t"), F.col("source").alias("__src"))
-    return groups.withColumn("raw_text", F.col("plain_text")).join(p, "group_id", "left").withColumns({"plain_text": F.coalesce("__t", "plain_text"), "punctuation_source": F.coalesce("__src", "punctuation_source")}).drop("__t", "__src")
+    had = F.col("punctuation_source") if "punctuation_source" in groups.columns else F.lit(None).cast("string")
+    j = groups.withColumns({"raw_text": F.col("plain_text"), "punctuation_source": had}).join(p, "group_id", "left")
+    return j.withColumns({"plain_text": F.coalesce("__t", "plain_text"), "punctuation_source": F.coalesce("__src", "punctuation_source")}).drop("__t", "__src")
 
 
 def set_size(groups: DataFrame, counts: DataFrame) -> DataFrame:

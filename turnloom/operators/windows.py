@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from turnloom.functions.text import ws_trim
 from turnloom.operators.ingest import seconds_24h
+from turnloom.runtime import hold
 
 GAP_S = 300
 
 
 def latest(dialogues: DataFrame) -> DataFrame:
-    """One row per dialogue: the latest delivery."""
-    rest = [c for c in dialogues.columns if c != "dialogue_id"]
-    return dialogues.groupBy("dialogue_id").agg(F.max_by(F.struct(*rest), "loaded_at").alias("v")).select("dialogue_id", "v.*")
+    """One row per dialogue: the latest delivery; of several at one moment the greatest by its columns."""
+    rest = [c for c in dialogues.columns if c not in ("dialogue_id", "loaded_at")]
+    return dialogues.groupBy("dialogue_id").agg(F.max(F.struct("loaded_at", *rest)).alias("v")).select("dialogue_id", "v.*").select(*dialogues.columns)
 
 
 def groups_with_dialogues(groups: DataFrame, dialogues: DataFrame) -> DataFrame:
@@ -47,55 +48,76 @@ def title_mode(windowed: DataFrame) -> DataFrame:
     return counts.groupBy(*KEY).agg(F.max_by("program_title", F.struct(F.col("n"), -F.col("p"))).alias("program_title"))
 
 
-def ordered_turns(windowed: DataFrame, dialogues: DataFrame) -> DataFrame:
-    """Dialogues of windowed groups with their place: ``pos`` of the group, ``oi`` within it (nulls first)."""
-    d = dialogues.select("group_id", "dialogue_id", F.coalesce("order_index", F.lit(-1)).alias("oi"), "dialogue", "speaker")
-    return windowed.select(*KEY, "group_id", "pos", "broadcast_time").join(d, "group_id")
+def turns_by_group(dialogues: DataFrame) -> DataFrame:
+    """``group_id, t``: each group's turns in order (``order_index``, nulls first, then id)."""
+    row = F.struct(F.coalesce("order_index", F.lit(-1)).alias("oi"), "dialogue_id", "dialogue", "speaker")
+    return dialogues.groupBy("group_id").agg(F.array_sort(F.collect_list(row)).alias("t"))
 
 
-def _listed(turns: DataFrame) -> DataFrame:
-    row = F.struct("pos", "oi", "dialogue_id", "broadcast_time", "dialogue", "speaker")
-    return turns.groupBy(*KEY).agg(F.array_sort(F.collect_list(row)).alias("t"))
+def listed(windowed: DataFrame) -> DataFrame:
+    """One row per window with its groups in order as ``g``; needs ``t``, the turns of each group."""
+    row = F.struct("pos", "broadcast_time", "sod", "program_title", "t")
+    return windowed.groupBy(*KEY).agg(F.array_sort(F.collect_list(row), lambda x, y: x["pos"] - y["pos"]).alias("g"))
 
 
-def speakers_of(t: Column) -> Column:
-    named = F.transform(t, lambda x: ws_trim(F.coalesce(x["speaker"], F.lit(""))))
+def all_turns(g: Column) -> Column:
+    return F.flatten(F.transform(g, lambda x: x["t"]))
+
+
+def starts(rows: Column, same) -> Column:
+    """Places (from 1) at which ``same(row, row before)`` doesn't hold; the first place always."""
+    return F.filter(F.sequence(F.lit(1), F.size(rows)), lambda i: (i == 1) | ~same(F.element_at(rows, i), F.element_at(rows, F.greatest(i - 1, F.lit(1)))))
+
+
+def stretches(rows: Column, at: Column, build) -> Column:
+    """``build(rows from one start up to the next)`` for each start, in time linear in the rows."""
+    return F.transform(at, lambda s, k: build(F.slice(rows, s, F.coalesce(F.get(at, k + 1), F.size(rows) + 1) - s)))
+
+
+def title_of(g: Column) -> Column:
+    """Commonest title of a window; of equals the one met first."""
+    titles = F.array_sort(F.transform(g, lambda x: F.struct(x["program_title"].alias("title"), x["pos"].alias("pos"))))
+    counted = stretches(titles, starts(titles, lambda a, b: a["title"].eqNullSafe(b["title"])), lambda r: F.struct(F.size(r).alias("n"), (-F.element_at(r, 1)["pos"]).alias("p"), F.element_at(r, 1)["title"].alias("title")))
+    return F.array_max(counted)["title"]
+
+
+def said(turns: Column) -> Column:
+    """The texts of turns joined by blanks; null and empty ones are left out."""
+    return F.array_join(F.filter(F.transform(turns, lambda x: x["dialogue"]), lambda d: d != ""), " ")
+
+
+def speakers_of(turns: Column) -> Column:
+    named = F.transform(turns, lambda x: ws_trim(F.coalesce(x["speaker"], F.lit(""))))
     return F.array_join(F.array_distinct(F.filter(named, lambda s: s != "")), ", ")
 
 
-def stitched_of(t: Column) -> Column:
+def stitched_of(g: Column) -> Column:
     """``[time] texts`` for each group, groups parted by a blank line."""
-    groups = F.array_distinct(F.transform(t, lambda x: F.struct(x["pos"].alias("pos"), x["broadcast_time"].alias("tm"))))
-    texts = lambda g: F.array_join(F.transform(F.filter(t, lambda x: (x["pos"] == g["pos"]) & (F.coalesce(x["dialogue"], F.lit("")) != "")), lambda x: x["dialogue"]), " ")
-    return F.array_join(F.transform(groups, lambda g: F.concat(F.lit("["), g["tm"], F.lit("] "), texts(g))), "\n\n")
+    return F.array_join(F.transform(g, lambda x: F.concat(F.lit("["), x["broadcast_time"], F.lit("] "), said(x["t"]))), "\n\n")
 
 
 def heading(speaker: Column) -> Column:
     return F.concat(F.lit("**Speaker ( "), F.coalesce(speaker, F.lit("None")), F.lit(" )** : "))
 
 
-def speaker_runs(turns: DataFrame) -> DataFrame:
-    """Runs of one (raw, null-safe) speaker over a window's turns: ``..., run, speaker, text``."""
-    w = Window.partitionBy(*KEY).orderBy("pos", "oi", "dialogue_id")
-    marked = turns.withColumns({"same": F.col("speaker").eqNullSafe(F.lag("speaker").over(w)) & (F.row_number().over(w) > 1)})
-    runs = marked.withColumn("run", F.sum((~F.col("same")).cast("int")).over(w))
-    said = F.array_sort(F.collect_list(F.when(F.coalesce("dialogue", F.lit("")) != "", F.struct("pos", "oi", "dialogue_id", "dialogue"))))
-    return runs.groupBy(*KEY, "run", "speaker").agg(F.array_join(F.transform(said, lambda x: x["dialogue"]), " ").alias("text"))
-
-
-def diarized(turns: DataFrame) -> DataFrame:
-    parts = speaker_runs(turns).withColumn("part", F.concat(heading(F.col("speaker")), F.col("text")))
-    listed = F.array_sort(F.collect_list(F.struct("run", "part")))
-    return parts.groupBy(*KEY).agg(F.array_join(F.transform(listed, lambda x: x["part"]), "\n\n").alias("diarized_dialogue"))
+def diarized_of(turns: Column) -> Column:
+    """Runs of one (raw, null-safe) speaker over a window's turns, across groups: heading and joined texts."""
+    runs = stretches(turns, starts(turns, lambda a, b: a["speaker"].eqNullSafe(b["speaker"])), lambda r: F.concat(heading(F.element_at(r, 1)["speaker"]), said(r)))
+    return F.array_join(runs, "\n\n")
 
 
 def final_windows(groups: DataFrame, dialogues: DataFrame, gap_s: int = GAP_S) -> DataFrame:
-    """The window table: bounds, commonest title, speakers, stitched and diarized text, numbered in order."""
-    windowed = gap_windows(groups_with_dialogues(groups, dialogues), gap_s)
-    turns = ordered_turns(windowed, dialogues)
-    texts = _listed(turns).select(*KEY, F.size("t").cast("bigint").alias("n_segments"), speakers_of(F.col("t")).alias("speakers"), stitched_of(F.col("t")).alias("stitched_dialogue"))
-    rows = window_bounds(windowed).join(title_mode(windowed), KEY).join(texts, KEY).join(diarized(turns), KEY)
+    """The window table: bounds, commonest title, speakers, stitched and diarized text.
+
+    Each table is read once: turns are gathered by group, groups numbered into windows and gathered by window, and all
+    columns come from the ordered arrays. A window's row holds its whole text, which bounds what a task gathers.
+    """
+    g = groups.select("group_id", "broadcast_date", "channel_name", "broadcast_time", "program_title").join(turns_by_group(dialogues), "group_id")
+    rows = hold(listed(gap_windows(g, gap_s)), turns=all_turns(F.col("g")))
+    first, last = F.element_at("g", 1), F.element_at("g", -1)
     return rows.select(
-        "program_title", "channel_name", "broadcast_date", F.concat_ws(" - ", "start_time", "end_time").alias("broadcast_time"),
-        "duration_min", "n_segments", "speakers", "stitched_dialogue", "diarized_dialogue",
+        title_of(F.col("g")).alias("program_title"), "channel_name", "broadcast_date",
+        F.concat_ws(" - ", first["broadcast_time"], last["broadcast_time"]).alias("broadcast_time"), ((last["sod"] - first["sod"]) / 60.0).alias("duration_min"),
+        F.size("turns").cast("bigint").alias("n_segments"), speakers_of(F.col("turns")).alias("speakers"),
+        stitched_of(F.col("g")).alias("stitched_dialogue"), diarized_of(F.col("turns")).alias("diarized_dialogue"),
     )

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnloom.functions import ids
 from turnloom.inference import stages
+from turnloom.inference.control import CALLS_PER_MINUTE
 from turnloom.inference.provider import Provider, RuleProvider
+from turnloom.logs import get_logger
 from turnloom.operators import ingest, state, stitching, verdicts, windows
-from turnloom.sources.sinks import Catalog, numbered_final
+from turnloom.sources.sinks import Catalog, numbered_final, sheets_can_be_written, write_csv, write_report, write_sheet
+
+log = get_logger(__name__)
 
 STEPS = ("group", "relevance", "punctuation", "count", "segment", "attribute", "verify", "stitch", "export")
 
@@ -25,28 +31,51 @@ def group_rows(clips: DataFrame, sched: DataFrame, gap_s: int = 60, cap: int = 5
 
 
 class Pipeline:
-    """Runs the steps into ``root``; finished steps are read, not run again. ``stop_after`` names the last step."""
+    """Runs the steps into ``root``; finished steps are read, not run again. ``stop_after`` names the last step.
+
+    ``prompts`` maps a stage to its template (see :func:`turnloom.inference.stages.ask`); ``restore`` is a local model of
+    punctuation for refused texts. ``export`` names a folder for the windows and the verification report at the end.
+    """
 
-    def __init__(self, spark: SparkSession, root: str, provider: Provider | None = None, limit: int = 0, stop_after: str | None = None, tasks: int = 8, per_minute: float = 1e9):
+    def __init__(
+        self, spark: SparkSession, root: str, provider: Provider | None = None, limit: int = 0, stop_after: str | None = None, tasks: int | None = None,
+        per_minute: float = CALLS_PER_MINUTE, prompts: dict[str, dict] | None = None, restore=None, export: str | None = None,
+    ):
         if stop_after is not None and stop_after not in STEPS:
             raise ValueError(f"no step {stop_after}")
         self.spark, self.provider, self.limit, self.stop_after = spark, provider or RuleProvider(), limit, stop_after
         self.tables = Catalog(spark, f"{root}_limit_{limit}" if limit else root)
-        self.how = {"tasks": tasks, "per_minute": per_minute}
+        self.prompts, self.restore, self.export = prompts, restore, export
+        self.how = {"tasks": tasks, "per_minute": per_minute, "templates": prompts}
 
     def _step(self, name: str, make) -> DataFrame:
-        return self.spark.read.parquet(self.tables.path(name)) if self.tables.exists(name) else self.tables.write(name, make())
-
-    def _twice(self, name: str, todo: DataFrame, run) -> DataFrame:
+        if self.tables.exists(name):
+            return self.spark.read.parquet(self.tables.path(name))
+        began = time.monotonic()
+        df = self.tables.write(name, make())
+        counts = ""
+        if "outcome" in df.columns:
+            counts = ": " + ", ".join(f"{r.outcome} {r.n}" for r in df.groupBy("outcome").agg(F.count("*").alias("n")).orderBy("outcome").collect())  # one row an outcome
+        log.info("%s written in %.1f s%s", name, time.monotonic() - began, counts)
+        return df
+
+    def _asked(self, name: str, asks: tuple[str, ...], make) -> DataFrame:
+        """A step whose stages' instructions are kept by the provider while it runs."""
+        if self.tables.exists(name):
+            return self.spark.read.parquet(self.tables.path(name))
+        with stages.instructions_cached(self.provider, self.prompts, asks) as caches:
+            return self._step(name, lambda: make({**self.how, "caches": caches}))
+
+    def _twice(self, name: str, asks: tuple[str, ...], todo: DataFrame, run) -> DataFrame:
         """A stage's outcomes; what failed is tried once more in the same run."""
-        first = self._step(f"{name}_1", lambda: run(todo))
+        first = self._asked(f"{name}_1", asks, lambda how: run(todo, how))
         failed = todo.join(first.filter("outcome = 'failed'").select("group_id"), "group_id", "left_semi")
-        second = self._step(f"{name}_2", lambda: run(failed))
+        second = self._asked(f"{name}_2", asks, lambda how: run(failed, how))
         return first.filter("outcome <> 'failed'").unionByName(second)
 
     def run(self, raw: DataFrame, sched: DataFrame, seconds=ingest.seconds_12h) -> dict[str, DataFrame]:
         out: dict[str, DataFrame] = {}
-        how, p = self.how, self.provider
+        p = self.provider
         clips = ingest.ingest(raw, sched, self.limit, seconds)
         groups = self._step("grouped", lambda: state.insert_if_absent(group_rows(clips, sched), self.spark.createDataFrame([], "group_id string"), "grouped"))
 
@@ -56,14 +85,16 @@ class Pipeline:
         out["grouped"] = groups
         if done("group"):
             return out
-        rel = self._twice("relevance", groups, lambda g: stages.relevance(g, p, **how))
+        rel = self._twice("relevance", ("relevance",), groups, lambda g, how: stages.relevance(g, p, **how))
         out["relevance"] = rel
         relevant = groups.join(rel.filter("status = 'RELEVANT'").select("group_id"), "group_id", "left_semi")
         if done("relevance"):
             return out
-        pun = self._twice("punctuation", relevant, lambda g: stages.punctuation(g, p, **how).withColumn("outcome", F.when(F.col("outcome") == "ok", "ok").otherwise("failed")))
+        one = F.when(F.col("outcome") == "ok", "ok").otherwise("failed")
+        pun = self._twice("punctuation", ("punctuation",), relevant, lambda g, how: stages.punctuation(g, p, restore=self.restore, **how).withColumn("outcome", one))
         out["punctuation"] = pun
-        ready = relevant.join(pun.filter("outcome = 'ok'").select("group_id", "text"), "group_id").withColumn("plain_text", F.col("text")).drop("text")
+        good = pun.filter("outcome = 'ok'").select("group_id", "text", "source")
+        ready = state.set_text(relevant.join(good.select("group_id"), "group_id", "left_semi"), good).drop("raw_text")
         if done("punctuation"):
             return out
         cnt = self._step("counts", lambda: stages.token_counts(ready, p))
@@ -71,16 +102,16 @@ class Pipeline:
         sized = ready.join(cnt, "group_id")
         if done("count"):
             return out
-        seg = self._twice("segmentation", sized, lambda g: stages.segmentation(g, p, **how))
+        seg = self._twice("segmentation", ("segmentation", "segmentation_indexed"), sized, lambda g, how: stages.segmentation(g, p, **how))
         segments = self._step("segments", lambda: stages.segment_rows(seg, groups))
         out["segments"] = segments
         if done("segment"):
             return out
-        dialogues = self._step("dialogues", lambda: stages.attribution(segments, p, **how))
+        dialogues = self._asked("dialogues", ("attribution",), lambda how: stages.attribution(segments, p, **how))
         out["dialogues"] = dialogues
         if done("attribute"):
             return out
-        ver = self._step("verdicts", lambda: stages.verification(dialogues, ready, p, **how))
+        ver = self._asked("verdicts", ("verification",), lambda how: stages.verification(dialogues, ready, p, **how))
         fixed = verdicts.apply_verification(dialogues, ver)
         verified = self._step("verified", lambda: dialogues.drop("speaker", "role", "verification_score").join(fixed.drop("corrected"), "dialogue_id"))
         out["verified"] = verified
@@ -91,8 +122,20 @@ class Pipeline:
         if done("stitch"):
             return out
         out["final"] = self._step("final", lambda: numbered_final(windows.final_windows(groups, stitched)))
+        if self.export:
+            self._write_files(out["final"], verdicts.report(dialogues, ver))
         return out
 
+    def _write_files(self, final: DataFrame, report: DataFrame) -> None:
+        """The windows in order as CSV (and as a sheet where that can be written) and the verification report."""
+        name = f"{self.export}/windows" + (f"_limit_{self.limit}" if self.limit else "")
+        ordered = final.orderBy("window_id")
+        write_csv(ordered, f"{name}_csv")
+        if "://" not in name and sheets_can_be_written():
+            write_sheet(ordered, f"{name}.xlsx")
+        write_report(report.orderBy("group_id").select(F.col("report").alias("block")), f"{self.export}/verification_responses")
+        log.info("windows and report written to %s", self.export)
+
     def status(self) -> DataFrame:
         """The groups as they stand: status, size label and block flag derived from the outcome tables on disk.
 

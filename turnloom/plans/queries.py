@@ -11,6 +11,8 @@ from turnloom.functions import ids, units
 from turnloom.functions.text import clamp01, is_blank, null_if_empty, ws_trim
 from turnloom.operators import ingest, people, relational, state, stitching, verdicts, windows
 from turnloom.runtime import read
+from turnloom.schemas import migrate
+from turnloom.sources.sinks import numbered_final
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -68,6 +70,35 @@ UUID = lambda key, ns="6ba7b8109dad11d180b400c04fd430c8": (
 GAP = 1800  # seconds; minute gaps of the sample hardly ever fill a group
 
 
+def VOC(src: str, name: str, text: str) -> str:  # noqa: N802
+    """CTEs ``vq, vc``: ``src`` with ``voc``, whether the name stands in the text only where it is addressed."""
+    n, piece, after = TRIM(name), TRIM("q[i]"), TRIM("q[i+1]")
+    x = f"(CASE WHEN {piece} <> '' THEN right({piece}, 1) WHEN i > 1 THEN right(vn, 1) ELSE '' END)"
+    y = f"(CASE WHEN {after} <> '' THEN left({after}, 1) WHEN i + 1 < len(q) THEN left(vn, 1) ELSE '' END)"
+    ok = f"(({x} = ',' AND {y} IN ('','.','!','?',',')) OR ({x} IN ('','.','!','?') AND {y} = ','))"
+    quoted = "regexp_replace(vn, '([\\\\.\\[\\]{}()*+?^$|\\-])', '\\\\\\1', 'g')"
+    return (
+        f"vp AS (SELECT *, {n} AS vn FROM {src}), vq AS (SELECT *, regexp_split_to_array({text}, '(?i)\\b'||{quoted}||'\\b') AS q FROM vp), "
+        f"vc AS (SELECT * EXCLUDE (q, vn), coalesce(vn <> '' AND len(q) > 1 AND list_bool_and(list_transform(range(1, len(q)), lambda i: {ok})), false) AS voc FROM vq)"
+    )
+
+
+# Sentence pieces of punctuated groups: a segment begins at a speaker mark and between a question and what is none.
+_SENTENCES = f"string_split(regexp_replace({TRIM('p')}, '([.!?])[\\s\\x{{A0}}]+', '\\1'||chr(1), 'g'), chr(1))"
+PIECES = lambda over: f"""s00 AS (SELECT *, {over} AS v FROM "grouped" WHERE punctuation_source IS NOT NULL),
+s0 AS (SELECT group_id, program_id, broadcast_time, v, unnest(string_split(plain_text, CASE WHEN v THEN ' >> ' ELSE '>>' END)) AS p, generate_subscripts(string_split(plain_text, CASE WHEN v THEN ' >> ' ELSE '>>' END), 1) AS i FROM s00),
+s1 AS (SELECT group_id, program_id, broadcast_time, i, v, unnest({_SENTENCES}) AS u, generate_subscripts({_SENTENCES}, 1) AS j FROM s0 WHERE {TRIM('p')} <> ''),
+s11 AS (SELECT *, CASE WHEN v THEN split_part(u, chr(10), 1) ELSE u END AS x FROM s1),
+s2 AS (SELECT *, CASE WHEN lag(i) OVER w IS DISTINCT FROM i OR (ends_with(lag(x) OVER w, '?') AND NOT ends_with(x, '?')) THEN 1 ELSE 0 END AS b FROM s11 WINDOW w AS (PARTITION BY group_id ORDER BY i, j)),
+s3 AS (SELECT *, sum(b) OVER (PARTITION BY group_id ORDER BY i, j) AS k FROM s2),
+sg AS (SELECT group_id, CAST(k - 1 AS INT) AS order_index, first(program_id) AS program_id, first(broadcast_time) AS broadcast_time, {TRIM("regexp_replace(string_agg(u, ' ' ORDER BY i, j), '^>>[\\s]*', '')")} AS text FROM s3 GROUP BY group_id, k)"""
+INTRO = lambda c: f"nullif(regexp_extract({c}, '\\b(?:I''m|I am|this is|my name is|joined by|here is|over to|thank you,?)\\s+([A-Z][\\p{{L}}\\p{{N}}_''-]+(?: [A-Z][\\p{{L}}\\p{{N}}_''-]+)?)', 1), '')"
+# What the rule provider answers for lines (t) of one chunk in order: the last name introduced speaks.
+ATTRIBUTED = lambda src, part, order: f"""a1 AS (SELECT *, {INTRO('t')} AS m FROM {src}),
+a2 AS (SELECT *, last_value(m IGNORE NULLS) OVER (PARTITION BY {part} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS known FROM a1),
+a3 AS (SELECT *, coalesce(m, known, 'Unknown') AS sp, CASE WHEN m IS NOT NULL THEN 0.9::DOUBLE WHEN known IS NOT NULL THEN 0.6 ELSE 0.2 END AS conf FROM a2)"""
+
+
 def _date():
     return F.col("bdate").cast("string").alias("bdate")
 
@@ -171,23 +202,24 @@ _STITCHED = "sg AS (SELECT broadcast_date, channel_name, win, pos, min(broadcast
 _DIARIZED = "r1 AS (SELECT *, CASE WHEN row_number() OVER w = 1 OR speaker IS DISTINCT FROM lag(speaker) OVER w THEN 1 ELSE 0 END AS nr FROM t WINDOW w AS (PARTITION BY broadcast_date, channel_name, win ORDER BY pos, oi, dialogue_id)), r2 AS (SELECT *, sum(nr) OVER (PARTITION BY broadcast_date, channel_name, win ORDER BY pos, oi, dialogue_id) AS run FROM r1), r3 AS (SELECT broadcast_date, channel_name, win, run, speaker, coalesce(string_agg(dialogue, ' ' ORDER BY pos, oi, dialogue_id) FILTER (dialogue <> ''), '') AS tx FROM r2 GROUP BY 1,2,3,4,5), di AS (SELECT broadcast_date, channel_name, win, string_agg('**Speaker ( '||coalesce(speaker,'None')||' )** : '||tx, chr(10)||chr(10) ORDER BY run) AS diarized_dialogue FROM r3 GROUP BY 1,2,3)"
 
 
-def _turns(spark, sf):
-    return windows.ordered_turns(_windowed(spark, sf), _dialogues(spark, sf))
+def _listed(spark, sf):
+    d = windows.turns_by_group(_dialogues(spark, sf))
+    return windows.listed(windows.gap_windows(read(spark, sf, "grouped").join(d, "group_id")))
 
 
 @query(f"WITH {WINDOWED}, {_SPEAKERS}, a AS (SELECT DISTINCT broadcast_date, channel_name, win FROM t) SELECT a.broadcast_date, a.channel_name, a.win, coalesce(speakers,'') AS speakers FROM a LEFT JOIN spk USING (broadcast_date, channel_name, win)")
 def window_speakers(spark, sf):
-    return windows._listed(_turns(spark, sf)).select(*windows.KEY, windows.speakers_of(F.col("t")).alias("speakers"))
+    return _listed(spark, sf).select(*windows.KEY, windows.speakers_of(windows.all_turns(F.col("g"))).alias("speakers"))
 
 
 @query(f"WITH {WINDOWED}, {_STITCHED} SELECT broadcast_date, channel_name, win, stitched_dialogue FROM st")
 def stitched_text(spark, sf):
-    return windows._listed(_turns(spark, sf)).select(*windows.KEY, windows.stitched_of(F.col("t")).alias("stitched_dialogue"))
+    return _listed(spark, sf).select(*windows.KEY, windows.stitched_of(F.col("g")).alias("stitched_dialogue"))
 
 
 @query(f"WITH {WINDOWED}, {_DIARIZED} SELECT broadcast_date, channel_name, win, diarized_dialogue FROM di")
 def diarized_runs(spark, sf):
-    return windows.diarized(_turns(spark, sf))
+    return _listed(spark, sf).select(*windows.KEY, windows.diarized_of(windows.all_turns(F.col("g"))).alias("diarized_dialogue"))
 
 
 @query(f"""WITH {WINDOWED}, {_SPEAKERS}, {_STITCHED}, {_DIARIZED},
@@ -234,17 +266,24 @@ def low_confidence(spark, sf):
     return v.select("dialogue_id", "group_id", "confidence_score", "channel_name", "plain_text")
 
 
-@query(f"""WITH {LATEST}, v AS (SELECT dialogue_id, CASE WHEN instr('0123', substr(dialogue_id,2,1))>0 THEN '' ELSE coalesce(role,'') END AS v_speaker, role AS v_role, confidence_score AS v_score FROM d WHERE instr('01234567', substr(dialogue_id,1,1))>0),
-j AS (SELECT d.*, v.dialogue_id IS NOT NULL AS has, v.v_speaker, v.v_role, v.v_score FROM d LEFT JOIN v USING (dialogue_id)),
-k AS (SELECT *, CASE WHEN has AND {TRIM("v_speaker")} <> '' THEN {TRIM("v_speaker")} ELSE speaker END AS sp FROM j)
-SELECT dialogue_id, sp AS speaker, CASE WHEN has AND sp IS DISTINCT FROM speaker THEN v_role ELSE role END AS role, has AND sp IS DISTINCT FROM speaker AS corrected FROM k""")
-def verification_apply(spark, sf):
-    """Synthetic verdicts: the role stands in for a verified speaker, for half of the turns."""
-    d = _dialogues(spark, sf)
+_VERDICTS = "v AS (SELECT dialogue_id, CASE WHEN instr('0123', substr(dialogue_id,2,1))>0 THEN '' ELSE coalesce(role,'') END AS v_speaker, role AS v_role, confidence_score AS v_score FROM d WHERE instr('01234567', substr(dialogue_id,1,1))>0)"
+_CHOSEN = f"CASE WHEN has AND {TRIM('v_speaker')} <> '' THEN {TRIM('v_speaker')} ELSE speaker END"
+
+
+def _verdicts(d: DataFrame) -> DataFrame:
+    """Synthetic verdicts for the turns whose id begins with 0 to 7: the role stands in for a verified speaker in half
+    of them, the others name nobody."""
     some = d.filter(F.instr(F.lit("01234567"), F.substring("dialogue_id", 1, 1)) > 0)
     speaker = F.when(F.instr(F.lit("0123"), F.substring("dialogue_id", 2, 1)) > 0, "").otherwise(F.coalesce("role", F.lit("")))
-    v = some.select("dialogue_id", speaker.alias("v_speaker"), F.col("role").alias("v_role"), F.col("confidence_score").alias("v_score"))
-    return verdicts.apply_verification(d, v).select("dialogue_id", "speaker", "role", "corrected")
+    return some.select("dialogue_id", speaker.alias("v_speaker"), F.col("role").alias("v_role"), F.col("confidence_score").alias("v_score"), F.lit(0.5).alias("v_prior"), F.col("note").alias("v_reason"))
+
+
+@query(f"""WITH {LATEST}, {_VERDICTS}, j AS (SELECT d.*, v.dialogue_id IS NOT NULL AS has, v.v_speaker, v.v_role, v.v_score FROM d LEFT JOIN v USING (dialogue_id)), k AS (SELECT *, {_CHOSEN} AS sp FROM j), {VOC('k', "coalesce(sp, '')", 'dialogue')}
+SELECT dialogue_id, sp AS speaker, CASE WHEN has AND sp IS DISTINCT FROM speaker THEN v_role ELSE role END AS role, has AND sp IS DISTINCT FROM speaker AS corrected, CASE WHEN NOT has THEN verification_score WHEN v_score > 0.5 AND voc THEN 0.5 ELSE v_score END AS verification_score FROM vc""")
+def verification_apply(spark, sf):
+    """Every turn after the synthetic verdicts, with its score."""
+    d = _dialogues(spark, sf)
+    return verdicts.apply_verification(d, _verdicts(d)).select("dialogue_id", "speaker", "role", "corrected", "verification_score")
 
 
 @query("""SELECT group_id, CASE WHEN status='RELEVANT' THEN 'kept' WHEN length(plain_text) % 100 / 100.0 >= 0.8 THEN 'dropped' ELSE 'uncertain' END AS outcome FROM "grouped" """)
@@ -283,7 +322,11 @@ def numbered_block(spark, sf):
     return g.select("group_id", units.numbered_block(F.transform("s", lambda x: x["text"])).alias("block"))
 
 
-@query()
+@query("""WITH x AS (SELECT group_id, order_index, length(text) AS n FROM segments), r AS (SELECT group_id, n % 9 - 1 AS a, n % 7 + order_index AS b FROM x),
+c AS (SELECT group_id, greatest(1, least(least(a, b), 8)) AS s, greatest(1, least(greatest(a, b), 8)) AS e FROM r),
+m AS (SELECT *, coalesce(max(e) OVER (PARTITION BY group_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS reach FROM c),
+k AS (SELECT group_id, reach + 1 AS s, e, row_number() OVER (PARTITION BY group_id ORDER BY s, e) AS i, count(*) OVER (PARTITION BY group_id) AS n FROM m WHERE e > reach)
+SELECT group_id, CAST(i - 1 AS INT) AS order_index, s AS start_unit, CASE WHEN i = n THEN 8 ELSE e END AS end_unit FROM k""")
 def range_repair(spark, sf):
     """Ranges made from segment lengths, repaired to tile each group's units; tested against a plain loop."""
     g = read(spark, sf, "segments").groupBy("group_id").agg(F.array_sort(F.collect_list(F.struct("order_index", F.length("text").alias("n")))).alias("s"))
@@ -292,19 +335,25 @@ def range_repair(spark, sf):
     return fixed.select("group_id", F.posexplode("r").alias("order_index", "x")).select("group_id", "order_index", F.col("x")["s"].alias("start_unit"), F.col("x")["e"].alias("end_unit"))
 
 
-@query()
+@query("""WITH RECURSIVE p AS (SELECT doc_id, unnest(x) AS t, generate_subscripts(x, 1) AS i FROM (SELECT doc_id, string_split(regexp_replace(text, '\\n+', ' >> ', 'g'), ' >> ') AS x FROM documents)),
+r AS (SELECT doc_id, i, 0 AS chunk, length(t) + 4 AS size, length(t) + 4 AS own FROM p WHERE i = 1
+UNION ALL SELECT p.doc_id, p.i, CASE WHEN r.size + length(p.t) + 4 > 800 THEN r.chunk + 1 ELSE r.chunk END, CASE WHEN r.size + length(p.t) + 4 > 800 THEN length(p.t) + 4 ELSE r.size + length(p.t) + 4 END, length(p.t) + 4 FROM r JOIN p ON p.doc_id = r.doc_id AND p.i = r.i + 1)
+SELECT doc_id, chunk, CAST(sum(own) - 4 AS INT) AS n_chars FROM r GROUP BY 1, 2""")
 def chunk_pack(spark, sf):
     """Documents' lines packed to at most 800 characters; tested against a plain loop."""
     d = read(spark, sf, "documents").select("doc_id", F.regexp_replace("text", "\n+", " >> ").alias("t"))
     return d.select("doc_id", F.posexplode(units.pack_chunks(F.col("t"), 800)).alias("chunk", "piece")).select("doc_id", "chunk", F.length("piece").alias("n_chars"))
 
 
-@query()
+_FIRST = f"regexp_extract({TRIM('speaker')}, '^[^\\s\\x{{A0}}]+')"
+
+
+@query(f"WITH {LATEST}, x AS (SELECT dialogue_id, {_FIRST} AS f, CASE WHEN length(dialogue) % 2 = 0 THEN 'Thank you, '||{_FIRST}||'. '||dialogue ELSE {_FIRST}||' said: '||dialogue END AS t FROM d WHERE {TRIM('speaker')} <> ''), {VOC('x', 'f', 't')} SELECT dialogue_id, voc AS vocative FROM vc")
 def vocative_flag(spark, sf):
-    """Turns that only address their speaker's first name; tested against a plain loop."""
+    """Turns that only address their speaker's first name, in made-up texts of two kinds."""
     d = _dialogues(spark, sf).filter(~is_blank(F.col("speaker")))
-    first = F.element_at(F.split(ws_trim(F.col("speaker")), r"\s+"), 1)
-    called = F.when(F.pmod(F.xxhash64("dialogue_id"), F.lit(2)) == 0, F.concat(F.lit("Thank you, "), first, F.lit(". "), "dialogue")).otherwise(F.concat(first, F.lit(" said: "), "dialogue"))
+    first = F.element_at(F.split(ws_trim(F.col("speaker")), r"(?U)[\s\u00a0]+"), 1)
+    called = F.when(F.length("dialogue") % 2 == 0, F.concat(F.lit("Thank you, "), first, F.lit(". "), "dialogue")).otherwise(F.concat(first, F.lit(" said: "), "dialogue"))
     return d.select("dialogue_id", units.only_vocative(first, called).alias("vocative"))
 
 
@@ -441,19 +490,30 @@ def known_speakers(spark, sf):
     return _dialogues(spark, sf).filter(~is_blank(F.col("speaker")) & (name != "UNKNOWN")).select("dialogue_id", name.alias("speaker"))
 
 
-@query()
+_NUM = lambda c: f"CASE WHEN {c} IS NULL THEN 'n/a' ELSE printf('%.2f', {c}) END"
+
+
+@query(f"""WITH {LATEST}, {_VERDICTS}, a AS (SELECT *, row_number() OVER (PARTITION BY group_id ORDER BY order_index NULLS FIRST, dialogue_id) AS n FROM d WHERE (confidence_score IS NULL OR confidence_score < 0.9) AND verification_score IS NULL AND block_status IS NULL),
+j AS (SELECT a.*, v.dialogue_id IS NOT NULL AS has, v.v_speaker, v.v_role, v.v_score FROM a LEFT JOIN v USING (dialogue_id)), k AS (SELECT *, {_CHOSEN} AS sp FROM j), {VOC('k', "coalesce(sp, '')", 'dialogue')},
+o AS (SELECT *, CASE WHEN NOT has THEN 'NO VERDICT' WHEN sp IS DISTINCT FROM speaker THEN 'CORRECTED' ELSE 'confirmed' END AS oc, coalesce(nullif(coalesce(v_role, ''), ''), 'n/a') AS r, CASE WHEN has THEN 0.5 ELSE confidence_score END AS prior, CASE WHEN has THEN CASE WHEN v_score > 0.5 AND voc THEN 0.5 ELSE v_score END END AS sc, CASE WHEN has THEN coalesce(nullif(note, ''), '(none provided)') ELSE '(none provided)' END AS why FROM vc),
+b AS (SELECT group_id, n, '['||n||'] dialogue_id='||dialogue_id||chr(10)||'    DIALOGUE:          '||coalesce(dialogue, 'None')||chr(10)||'    CURRENT SPEAKER:   '||coalesce(speaker, 'None')||chr(10)||'    VERIFIED SPEAKER:  '||coalesce(sp, 'None')||'   ('||oc||')'||chr(10)||'    VERIFIED ROLE:     '||r||CASE WHEN oc = 'CORRECTED' THEN '' ELSE ' (not written; speaker unchanged)' END||chr(10)||'    PRIOR CONFIDENCE:  '||{_NUM('prior')}||chr(10)||'    VERIFICATION:      '||{_NUM('sc')}||chr(10)||'    REASONING:         '||why AS block FROM o)
+SELECT group_id, repeat('=', 80)||chr(10)||'GROUP: '||group_id||chr(10)||repeat('=', 80)||chr(10)||chr(10)||string_agg(block, chr(10)||chr(10) ORDER BY n)||chr(10) AS report FROM b GROUP BY group_id""")
 def verification_report(spark, sf):
-    """The text report of turns with a verification score."""
-    d = _dialogues(spark, sf).filter("verification_score is not null")
-    block = verdicts.report_block(F.coalesce("order_index", F.lit(0)) + 1, F.col("dialogue_id"), F.col("dialogue"), F.col("speaker"), F.col("speaker"), F.col("role"), F.col("confidence_score"), F.col("verification_score"), F.lit(True), F.col("note"))
-    return d.select("dialogue_id", block.alias("block"))
+    """The text report of the unsure turns under the synthetic verdicts, group by group."""
+    d = _dialogues(spark, sf)
+    return verdicts.report(d, _verdicts(d))
 
 
 def _provider_groups(spark, sf):
     return read(spark, sf, "grouped")
 
 
-@query()
+_HITS = " + ".join(f"CAST(contains(b, '{w}') AS INT)" for w in ("minister", "government", "police", "court", "council", "election", "union", "budget", "school", "hospital"))
+
+
+@query(f"""WITH x AS (SELECT group_id, lower(coalesce(plain_text, '')) AS b FROM "grouped"), y AS (SELECT group_id, {_HITS} AS h, len(regexp_extract_all(b, '[^\\s\\x{{A0}}]+')) AS w FROM x),
+z AS (SELECT group_id, h > 0 AS is_relevant, CASE WHEN h > 1 OR w < 3 THEN 0.95::DOUBLE WHEN h > 0 THEN 0.85 ELSE 0.5 END AS confidence FROM y)
+SELECT *, CASE WHEN is_relevant THEN 'kept' WHEN confidence >= 0.8 THEN 'dropped' ELSE 'uncertain' END AS outcome, CASE WHEN NOT is_relevant AND confidence >= 0.8 THEN 'NOT RELEVANT' ELSE 'RELEVANT' END AS status FROM z""")
 def stage_relevance(spark, sf):
     from turnloom.inference import stages
     from turnloom.inference.provider import RuleProvider
@@ -461,7 +521,12 @@ def stage_relevance(spark, sf):
     return stages.relevance(_provider_groups(spark, sf), RuleProvider(), per_minute=1e9)
 
 
-@query()
+_RESTORED = f"(CASE WHEN {TRIM('p')} = '' THEN '' ELSE (SELECT upper(left(y, 1))||substr(y, 2)||CASE WHEN right(y, 1) IN ('.','!','?','…') THEN '' ELSE '.' END FROM (SELECT CASE WHEN {TRIM('p')} = upper({TRIM('p')}) AND {TRIM('p')} <> lower({TRIM('p')}) THEN lower({TRIM('p')}) ELSE {TRIM('p')} END AS y)) END)"
+
+
+@query(f"""WITH a AS (SELECT group_id, plain_text, unnest(string_split(plain_text, ' >> ')) AS p, generate_subscripts(string_split(plain_text, ' >> '), 1) AS i FROM "grouped" WHERE punctuation_source IS NULL AND {TRIM('plain_text')} <> ''),
+b AS (SELECT group_id, first(plain_text) AS w, trim(string_agg({_RESTORED}, ' >> ' ORDER BY i)) AS text FROM a GROUP BY group_id)
+SELECT group_id, text, 'llm' AS source, CASE WHEN length(text) < 0.4 * length(w) THEN 'too_short' ELSE 'ok' END AS outcome FROM b""")
 def stage_punctuation(spark, sf):
     from turnloom.inference import stages
     from turnloom.inference.provider import RuleProvider
@@ -470,15 +535,15 @@ def stage_punctuation(spark, sf):
     return stages.punctuation(raw, RuleProvider(), per_minute=1e9)
 
 
-@query(r"""SELECT group_id, len(regexp_extract_all(plain_text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]'))::BIGINT AS tokens FROM "grouped" WHERE plain_text IS NOT NULL""")
+@query(r"""SELECT *, CASE WHEN tokens > 1000 THEN 'OVER' ELSE 'UNDER' END AS size_label FROM (SELECT group_id, len(regexp_extract_all(plain_text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]'))::BIGINT AS tokens FROM "grouped" WHERE plain_text IS NOT NULL)""")
 def stage_count(spark, sf):
     from turnloom.inference import stages
     from turnloom.inference.provider import RuleProvider
 
-    return stages.token_counts(_provider_groups(spark, sf), RuleProvider()).select("group_id", "tokens")
+    return stages.token_counts(_provider_groups(spark, sf), RuleProvider())
 
 
-@query()
+@query(f"WITH {PIECES("coalesce(size_label = 'OVER', false)")}, q AS (SELECT *, group_id||'|'||order_index AS key FROM sg) SELECT {UUID('key')} AS segment_id, group_id, program_id, broadcast_time, order_index, text FROM q")
 def stage_segmentation(spark, sf):
     from turnloom.inference import stages
     from turnloom.inference.provider import RuleProvider
@@ -487,7 +552,13 @@ def stage_segmentation(spark, sf):
     return stages.segment_rows(stages.segmentation(g, RuleProvider(), per_minute=1e9), g)
 
 
-@query()
+@query(f"""WITH l AS (SELECT group_id, CAST((row_number() OVER (PARTITION BY group_id ORDER BY order_index, segment_id) - 1)//40 AS INT) AS chunk, order_index, segment_id, text FROM segments),
+l1 AS (SELECT group_id, chunk, order_index, segment_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS li FROM l), l2 AS (SELECT *, {TRIM('x')} AS t FROM l1 WHERE {TRIM('x')} <> ''),
+{ATTRIBUTED('l2', 'group_id, chunk', 'order_index, segment_id, li')}, {VOC('a3', 'sp', 't')},
+i AS (SELECT group_id, min(program_id) AS program_id, min(broadcast_time) AS broadcast_time FROM segments GROUP BY 1), k AS (SELECT vc.*, CAST(row_number() OVER (PARTITION BY group_id ORDER BY chunk, order_index, segment_id, li) - 1 AS INT) AS oi FROM vc),
+q AS (SELECT k.*, i.program_id, i.broadcast_time, k.group_id||'|'||oi AS key FROM k JOIN i USING (group_id))
+SELECT {UUID('key')} AS dialogue_id, group_id, program_id, broadcast_time, t AS dialogue, sp AS speaker, CASE WHEN m IS NOT NULL THEN 'Guest' END AS role, CASE WHEN conf > 0.5 AND voc THEN 0.5 ELSE conf END AS confidence_score, CAST(NULL AS DOUBLE) AS verification_score,
+CAST(NULL AS VARCHAR) AS block_status, oi AS order_index, CASE WHEN starts_with(t, 'Clip - ') THEN 'clip' ELSE 'live' END AS speaker_type, CAST(NULL AS VARCHAR) AS note, 'ok' AS outcome FROM q""")
 def stage_attribution(spark, sf):
     from turnloom.inference import stages
     from turnloom.inference.provider import RuleProvider
@@ -495,7 +566,8 @@ def stage_attribution(spark, sf):
     return stages.attribution(read(spark, sf, "segments"), RuleProvider(), per_minute=1e9)
 
 
-@query()
+@query(f"""WITH {LATEST} SELECT d.dialogue_id, coalesce(d.speaker, '') AS v_speaker, '' AS v_role, CASE WHEN coalesce(d.speaker, '') = '' THEN 0.3 ELSE 0.7::DOUBLE END AS v_score, 0.5::DOUBLE AS v_prior, 'no evidence against' AS v_reason
+FROM d JOIN "grouped" g USING (group_id) WHERE (d.confidence_score IS NULL OR d.confidence_score < 0.9) AND d.verification_score IS NULL AND d.block_status IS NULL""")
 def stage_verification(spark, sf):
     from turnloom.inference import stages
     from turnloom.inference.provider import RuleProvider
@@ -503,7 +575,7 @@ def stage_verification(spark, sf):
     return stages.verification(_dialogues(spark, sf), _provider_groups(spark, sf), RuleProvider(), per_minute=1e9)
 
 
-@query()
+@query(f"SELECT DISTINCT group_id, {TRIM('person')} AS person, 'Guest' AS role, 'named' AS context FROM person_bio WHERE {TRIM('person')} <> ''")
 def stage_name_roles(spark, sf):
     from turnloom.inference import stages
     from turnloom.inference.provider import RuleProvider
@@ -512,7 +584,11 @@ def stage_name_roles(spark, sf):
     return stages.name_roles(names, RuleProvider(), per_minute=1e9)
 
 
-@query()
+@query("""WITH t AS (SELECT row_id, unnest(regexp_extract_all(plain_text, '[\\p{L}\\p{M}\\p{N}_]+|[^\\p{L}\\p{M}\\p{N}_\\s\\x{A0}]')) AS w, generate_subscripts(regexp_extract_all(plain_text, '[\\p{L}\\p{M}\\p{N}_]+|[^\\p{L}\\p{M}\\p{N}_\\s\\x{A0}]'), 1) AS i FROM person_bio),
+c AS (SELECT *, i - row_number() OVER (PARTITION BY row_id ORDER BY i) AS run FROM t WHERE regexp_full_match(w, '\\p{Lu}[^\\p{Lu}]*\\p{Ll}[^\\p{Lu}]*')),
+k AS (SELECT *, row_number() OVER (PARTITION BY row_id, run ORDER BY i) AS place, count(*) OVER (PARTITION BY row_id, run) AS n FROM c),
+m AS (SELECT row_id, run, min(i) AS f, string_agg(w, ' ' ORDER BY i) AS name FROM k WHERE place <= n // 2 * 2 GROUP BY 1, 2), o AS (SELECT row_id, name, min(f) AS f FROM m GROUP BY 1, 2), l AS (SELECT row_id, string_agg(name, ', ' ORDER BY f) AS names FROM o GROUP BY 1)
+SELECT b.row_id AS key, coalesce(l.names, '') AS names FROM person_bio b LEFT JOIN l USING (row_id)""")
 def stage_names(spark, sf):
     from turnloom.inference import stages
 
@@ -520,7 +596,10 @@ def stage_names(spark, sf):
     return t.select("key", F.array_join(people.name_spans(F.col("tokens"), F.col("labels")), ", ").alias("names"))
 
 
-@query()
+@query(f"""WITH {PIECES('true')}, w0 AS (SELECT group_id, unnest(string_split(replace(plain_text, ' >> ', chr(10)), chr(10))) AS x, generate_subscripts(string_split(replace(plain_text, ' >> ', chr(10)), chr(10)), 1) AS li FROM "grouped" WHERE punctuation_source IS NOT NULL AND {TRIM('plain_text')} <> ''),
+w1 AS (SELECT group_id, li, {TRIM("regexp_replace(x, '^[[]\\d:]+[]] ', '')")} AS t FROM w0), w2 AS (SELECT * FROM w1 WHERE t <> ''), {ATTRIBUTED('w2', 'group_id', 'li')}, {VOC('a3', 'sp', TRIM("regexp_replace(t, '^>>\\s*', '')"))},
+w3 AS (SELECT group_id, CAST(row_number() OVER (PARTITION BY group_id ORDER BY li) - 1 AS INT) AS order_index, sp AS speaker, {TRIM("regexp_replace(t, '^>>\\s*', '')")} AS text, CASE WHEN conf > 0.5 AND voc THEN 0.5 ELSE conf END AS confidence FROM vc)
+SELECT *, 'whole' AS form FROM w3 WHERE text <> '' UNION ALL SELECT group_id, order_index, 'Unknown', text, 0.2::DOUBLE, 'indexed' FROM sg""")
 def stage_diarization(spark, sf):
     from turnloom.inference import stages
     from turnloom.inference.provider import RuleProvider
@@ -528,3 +607,133 @@ def stage_diarization(spark, sf):
     g = _provider_groups(spark, sf).filter("punctuation_source is not null")
     whole = stages.diarization(g, RuleProvider(), per_minute=1e9).withColumn("form", F.lit("whole"))
     return whole.unionByName(stages.diarization(g, RuleProvider(), indexed=True, per_minute=1e9).withColumn("form", F.lit("indexed")))
+
+
+# Further forms and operators, each with its twin.
+
+
+@query(f"WITH {GROUPS(60)} SELECT channel_name, CAST(bdate AS VARCHAR) AS bdate, sod, program_title, n_clips, plain_text FROM mg")
+def capped_groups_minute(spark, sf):
+    """The capped groups at the pipeline's own gap of a minute."""
+    return ingest.merged_groups(_clean(spark, sf)).select("channel_name", _date(), "sod", "program_title", "n_clips", "plain_text")
+
+
+def _batches(size: int) -> str:
+    return f"SELECT group_id, CAST((row_number() OVER w - 1)//{size} AS INT) AS chunk, CAST((row_number() OVER w - 1)%{size} + 1 AS INT) AS idx FROM \"grouped\" WINDOW w AS (PARTITION BY status ORDER BY group_id)"
+
+
+def _chunked(spark, sf, size: int) -> DataFrame:
+    return verdicts.chunked(read(spark, sf, "grouped").select("group_id", "status"), "status", ["group_id"], size).select("group_id", "chunk", "idx")
+
+
+@query(_batches(verdicts.RELEVANCE_BATCH))
+def relevance_batches(spark, sf):
+    return _chunked(spark, sf, verdicts.RELEVANCE_BATCH)
+
+
+@query(_batches(verdicts.NAME_BATCH))
+def name_batches(spark, sf):
+    return _chunked(spark, sf, verdicts.NAME_BATCH)
+
+
+@query(_batches(verdicts.ATTRIBUTION_CHUNK))
+def attribution_batches(spark, sf):
+    return _chunked(spark, sf, verdicts.ATTRIBUTION_CHUNK)
+
+
+@query("""SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT group_id) AS BIGINT) AS n_groups, CAST(10 AS INT) AS largest FROM "grouped" """)
+def numbered_batches(spark, sf):
+    """Rows, distinct rows and the largest batch of the numbering of unkeyed rows."""
+    b = verdicts.numbered_batches(read(spark, sf, "grouped").select("group_id", "plain_text"), ["group_id"], 10)
+    return b.agg(F.count("*").alias("n_rows"), F.count_distinct(F.struct("bucket", "batch", "idx")).alias("n_groups"), F.max("idx").alias("largest"))
+
+
+@query("""WITH e AS (SELECT segment_id, group_id, row_number() OVER (PARTITION BY group_id ORDER BY order_index, segment_id) AS idx, length(text) AS n FROM segments),
+v AS (SELECT group_id, (idx + 1)//2 AS idx, n, idx AS seq FROM e), l AS (SELECT group_id, idx, last(n ORDER BY seq) AS n FROM v GROUP BY 1, 2)
+SELECT e.segment_id, l.n AS verdict FROM e LEFT JOIN l ON l.group_id = e.group_id AND l.idx = e.idx""")
+def verdict_join(spark, sf):
+    """Entries with their verdict by place: of two for one place the later holds, entries past the verdicts have none."""
+    e = verdicts.chunked(read(spark, sf, "segments"), "group_id", ["order_index", "segment_id"], 1_000_000)
+    v = e.select("group_id", F.floor((F.col("idx") + 1) / 2).cast("int").alias("idx"), F.length("text").alias("n"), F.col("idx").alias("seq"))
+    return verdicts.join_verdicts(e.select("segment_id", "group_id", "idx"), v, ["group_id", "idx"]).select("segment_id", F.col("v")["n"].cast("bigint").alias("verdict"))
+
+
+def _half(key: str) -> str:
+    return f"instr('01234567', substr({key}, 1, 1)) > 0"
+
+
+@query(f"SELECT segment_id, group_id, order_index, text FROM segments WHERE NOT ({_half('segment_id')})")
+def insert_segments(spark, sf):
+    """Segments that are not there yet, where half of them are."""
+    t = read(spark, sf, "segments")
+    return state.insert_if_absent(t, t.filter(_half("segment_id")), "segments").select("segment_id", "group_id", "order_index", "text")
+
+
+@query(f"WITH {LATEST} SELECT dialogue_id, group_id, dialogue, order_index FROM d WHERE NOT ({_half('dialogue_id')}) AND group_id IS NOT NULL AND dialogue IS NOT NULL")
+def insert_dialogues(spark, sf):
+    t = _dialogues(spark, sf)
+    return state.insert_if_absent(t, t.filter(_half("dialogue_id")), "dialogues").select("dialogue_id", "group_id", "dialogue", "order_index")
+
+
+@query(f"SELECT row_id, group_id, person FROM person_bio WHERE NOT ({_half('row_id')})")
+def insert_persons(spark, sf):
+    t = read(spark, sf, "person_bio")
+    return state.insert_if_absent(t, t.filter(_half("row_id")), "person_bio").select("row_id", "group_id", "person")
+
+
+@query("""SELECT group_id, CASE WHEN punctuation_source IS NULL THEN upper(plain_text) ELSE plain_text END AS plain_text, coalesce(punctuation_source, 'local') AS punctuation_source, plain_text AS raw_text FROM "grouped" """)
+def punctuated_text(spark, sf):
+    """Groups with new text and source where there is one; the text before is kept."""
+    g = read(spark, sf, "grouped").select("group_id", "plain_text", "punctuation_source")
+    new = g.filter("punctuation_source is null").select("group_id", F.upper("plain_text").alias("text"), F.lit("local").alias("source"))
+    return state.set_text(g, new)
+
+
+@query("""SELECT group_id, CASE WHEN status = 'PUNCTUATED' THEN CASE WHEN length(plain_text) > 1000 THEN 'OVER' ELSE 'UNDER' END ELSE size_label END AS size_label FROM "grouped" """)
+def size_update(spark, sf):
+    """Size labels from counts (here of characters) of the groups counted, others as they were."""
+    g = read(spark, sf, "grouped")
+    c = g.filter("status = 'PUNCTUATED'").select("group_id", verdicts.size_label(F.length("plain_text")).alias("size_label"))
+    return state.set_size(g, c).select("group_id", "size_label")
+
+
+@query(f"""SELECT segment_id, {TRIM("regexp_replace(text, '\\x{60}', '', 'g')")} AS body FROM segments""")
+def fenced_answers(spark, sf):
+    """Answers without the code fence around them, in three forms of fence."""
+    body = ws_trim(F.translate("text", "`", ""))
+    k = F.col("order_index") % 3
+    t = F.when(k == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).when(k == 1, F.concat(F.lit(" ```\n"), body, F.lit(" ```\n"))).otherwise(body)
+    return read(spark, sf, "segments").select("segment_id", units.fence_strip(t).alias("body"))
+
+
+@query(f"""SELECT group_id, {UUID("'blocked-diarize::'||group_id", '6ba7b8119dad11d180b400c04fd430c8')} AS blocked_id FROM "grouped" """)
+def blocked_diarize_ids(spark, sf):
+    return read(spark, sf, "grouped").select("group_id", ids.blocked_id(F.col("group_id"), "diarize").alias("blocked_id"))
+
+
+@query("""SELECT group_id, broadcast_date, broadcast_time, program_title, channel_name, plain_text, program_id, CAST(NULL AS VARCHAR) AS status, CAST(NULL AS VARCHAR) AS size_label, CAST(NULL AS VARCHAR) AS block_status, CAST(NULL AS VARCHAR) AS punctuation_source FROM "grouped" """)
+def migrated_groups(spark, sf):
+    """A table of an older form brought to the present one: new columns as nulls, columns dropped since left out."""
+    old = read(spark, sf, "grouped").drop("status", "size_label", "block_status", "punctuation_source").withColumn("n_segments", F.lit(1))
+    return migrate(old, "grouped")
+
+
+@query("""SELECT sched_ord, day_name, channel_name, start_time, end_time, CAST(substr(start_time,1,2) AS INT)*3600 + CAST(substr(start_time,4,2) AS INT)*60 + CAST(substr(start_time,7,2) AS INT) AS start_s, CAST(substr(end_time,1,2) AS INT)*3600 + CAST(substr(end_time,4,2) AS INT)*60 + CAST(substr(end_time,7,2) AS INT) AS end_s FROM news_schedule""")
+def schedule_scan(spark, sf):
+    return ingest.schedule(read(spark, sf, "news_schedule"))
+
+
+@query(f"WITH {LATEST}, a AS (SELECT dialogue_id, group_id, row_number() OVER (PARTITION BY group_id ORDER BY order_index NULLS FIRST, dialogue_id) AS k FROM d WHERE (confidence_score IS NULL OR confidence_score < 0.9) AND verification_score IS NULL AND block_status IS NULL) SELECT group_id, string_agg(dialogue_id, ',' ORDER BY k) AS asked FROM a GROUP BY group_id")
+def unsure_by_group(spark, sf):
+    """The turns to verify, gathered by group in order."""
+    d = verdicts.low_confidence(_dialogues(spark, sf)).groupBy("group_id").agg(F.array_sort(F.collect_list(F.struct("order_index", "dialogue_id"))).alias("t"))
+    return d.select("group_id", F.array_join(F.transform("t", lambda x: x["dialogue_id"]), ",").alias("asked"))
+
+
+_FINAL = SQL["final_windows"]
+
+
+@query(f"SELECT row_number() OVER (ORDER BY broadcast_date NULLS FIRST, channel_name NULLS FIRST, broadcast_time NULLS FIRST, program_title NULLS FIRST, stitched_dialogue NULLS FIRST) AS window_id, program_title, channel_name, broadcast_date, broadcast_time, n_segments FROM ({_FINAL})")
+def final_export(spark, sf):
+    """The window table in export order, numbered from 1."""
+    return numbered_final(windows.final_windows(read(spark, sf, "grouped"), _dialogues(spark, sf))).select("window_id", "program_title", "channel_name", "broadcast_date", "broadcast_time", "n_segments")

@@ -11,14 +11,15 @@ from turnloom.schemas import RAW_COLUMNS, require_columns
 
 
 def read_export(spark: SparkSession, path: str, null_words: tuple[str, ...] = ()) -> DataFrame:
-    """A raw export with header: the required columns as text, snake-case names, and ``ord``, the ingest order.
+    """A raw export with header: the required columns as text, snake-case names, and ``ord``, the ingest order: the
+    file's path, then the record's place in the file (a file with line breaks in its fields is read by one task).
 
     Missing columns raise ``ValueError`` by name; further columns are dropped. Words in ``null_words`` become null.
     """
     raw = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE").csv(path)
     require_columns(raw)
     cols = [F.when(~F.col(f"`{c}`").isin(*null_words), F.col(f"`{c}`")).alias(c.lower().replace(" ", "_")) if null_words else F.col(f"`{c}`").alias(c.lower().replace(" ", "_")) for c in RAW_COLUMNS]
-    return raw.select(*cols).withColumn("ord", F.monotonically_increasing_id())
+    return raw.select(*cols, F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("n")).alias("ord"))
 
 
 def read_schedule(spark: SparkSession, path: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnloom.functions.text import squeeze
+from turnloom.functions.text import SPACE, one_space, ws_trim
 from turnloom.runtime import hold
 
 # Month names and short forms by number (English, German, French; accents removed).
@@ -57,7 +57,7 @@ _MONTH_OF = {name: n for n, names in MONTHS.items() for name in names.split()}
 
 def plain(c: Column) -> Column:
     """Lower case, one space between words, no accents: what the patterns below read."""
-    return F.translate(F.lower(squeeze(c)), _ACCENTED, _PLAIN)
+    return ws_trim(one_space(F.translate(F.lower(c), _ACCENTED + SPACE, _PLAIN + " " * len(SPACE))))
 
 
 def valid_day(y: Column, m: Column, d: Column) -> Column:

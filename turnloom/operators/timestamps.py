@@ -17,9 +17,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnloom.functions.moments import add_date_readings, add_time_reading, wall_moments
+from turnloom.functions.moments import add_date_readings, add_time_reading, wall_moments, zone_offset
 from turnloom.functions.text import fold_key
-from turnloom.runtime import cut, hold
+from turnloom.runtime import by_value, cut, hold
 
 SWITCH_COST = 1.0
 BACKWARD_COST = 2.0
@@ -28,21 +28,40 @@ BLOCK = 4096
 _CAND = "array<struct<fmt:string,utc:bigint>>"
 
 
+def _day_readings(df: DataFrame, date: str) -> DataFrame:
+    """Add ``__days``: the days that ``date`` can name, each with the seconds its zone is east of UTC where its clocks
+    keep one offset from the day before to the day after, null where they are changed about then."""
+    df = add_date_readings(df, F.col(date), F.col("__order"), "__days")
+    zone = F.col("__zone")
+
+    def steady(day: Column) -> Column:
+        before, after = zone_offset((day - 1) * 86400, zone), zone_offset((day + 2) * 86400, zone)
+        return F.when(before == after, before)
+
+    return hold(df.withColumnRenamed("__days", "__d"), __days=F.transform("__d", lambda d: F.struct(d["fmt"].alias("fmt"), d["day"].alias("day"), steady(d["day"]).alias("east")))).drop("__d")
+
+
 def with_readings(df: DataFrame, date: str, time: str, zone: Column, order: Column, out: str = "readings") -> DataFrame:
-    """Add ``out``: the distinct moments that date and time text can name, each with its format."""
+    """Add ``out``: the distinct moments that date and time text can name, each with its format.
+
+    Dates repeat, so each distinct one (with its zone and order) is read once, together with the offset of its day;
+    only on days about a clock change are offsets looked up by the second. Takes zones whose changes lie more than
+    three days apart.
+    """
     df = hold(df, __zone=zone, __order=order)
-    df = add_date_readings(df, F.col(date), F.col("__order"), "__days")
+    df = by_value(df, [date, "__zone", "__order"], lambda x: _day_readings(x, date))
     df = add_time_reading(df, F.col(time), F.col("__zone"), "__clock")
     clock = F.col("__clock")
-    dated = F.when(clock["stamp_day"].isNotNull(), F.array(F.struct(F.lit("stamp").alias("fmt"), clock["stamp_day"].alias("day")))).otherwise(F.col("__days"))
-    walls = F.transform(dated, lambda d: F.struct(F.concat_ws("+", d["fmt"], clock["fmt"]).alias("fmt"), (d["day"] * 86400 + clock["sod"]).alias("wall")))
+    stamp = F.array(F.struct(F.lit("stamp").alias("fmt"), clock["stamp_day"].alias("day"), F.lit(None).cast("bigint").alias("east")))
+    dated = F.when(clock["stamp_day"].isNotNull(), stamp).otherwise(F.col("__days"))
+    walls = F.transform(dated, lambda d: F.struct(F.concat_ws("+", d["fmt"], clock["fmt"]).alias("fmt"), (d["day"] * 86400 + clock["sod"]).alias("wall"), d["east"].alias("east")))
     df = hold(df, __walls=F.when(clock["sod"].isNotNull() & clock["fmt"].isNotNull(), walls))
 
-    def moments(wall: Column) -> Column:
-        return F.when(clock["off"].isNotNull(), F.array(wall - clock["off"] * 60)).otherwise(wall_moments(wall, F.col("__zone")))
+    def moments(r: Column) -> Column:
+        return F.when(clock["off"].isNotNull(), F.array(r["wall"] - clock["off"] * 60)).when(r["east"].isNotNull(), F.array(r["wall"] - r["east"])).otherwise(wall_moments(r["wall"], F.col("__zone")))
 
     found = F.when(clock["epoch"].isNotNull(), F.array(F.struct(F.lit("epoch").alias("fmt"), clock["epoch"].alias("utc")))).otherwise(
-        F.flatten(F.transform("__walls", lambda r: F.transform(moments(r["wall"]), lambda u: F.struct(r["fmt"].alias("fmt"), u.alias("utc")))))
+        F.flatten(F.transform("__walls", lambda r: F.transform(moments(r), lambda u: F.struct(r["fmt"].alias("fmt"), u.alias("utc")))))
     )
     df = hold(df, **{out: F.coalesce(F.filter(found, lambda r: r["utc"].isNotNull()), F.array().cast(_CAND))})
     reason = (

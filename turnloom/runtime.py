@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -89,6 +90,25 @@ def hold(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
+MOST_VALUES = 100_000  # distinct values that are worked out once and broadcast; more are worked out row by row
+
+
+def by_value(df: DataFrame, columns: list[str], add: Callable[[DataFrame], DataFrame], most: int = MOST_VALUES) -> DataFrame:
+    """``add(df)``, where what ``add`` adds depends on ``columns`` alone: worked out once for each distinct value.
+
+    Values are broadcast only after they are known to be at most ``most``; beyond that ``add`` runs on every row.
+    """
+    values = cut(add(df.select(*columns).distinct()))
+    if values.limit(most + 1).count() > most:
+        return add(df)
+    other = values.select(*[F.col(c).alias(f"__v_{c}") for c in columns], *[c for c in values.columns if c not in columns])
+    met = None
+    for c in columns:
+        same = df[c].eqNullSafe(other[f"__v_{c}"])
+        met = same if met is None else met & same
+    return df.join(F.broadcast(other), met).drop(*[f"__v_{c}" for c in columns])
+
+
 def parallelism(spark: SparkSession, least: int = 8) -> int:
     """Partitions for CPU-bound Python stages: a multiple of the cores, never below ``least``."""
     return max(least, 2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -100,5 +120,7 @@ def spread(df: DataFrame) -> DataFrame:
     Text work is bound by the CPU, and one compressed file split may hold hundreds of megabytes of text. Large
     inputs already have more splits than that and pass through unchanged.
     """
-    n = parallelism(df.sparkSession)
-    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
+    sc = df.sparkSession.sparkContext
+    if df.rdd.getNumPartitions() >= 2 * sc.defaultParallelism:
+        return df
+    return df.repartition(parallelism(df.sparkSession))

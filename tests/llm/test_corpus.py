@@ -52,6 +52,23 @@ def test_runs_across_cells(spark):
         assert got == {(0, 399, 134), (501, 501, 1)}
 
 
+def test_runs_are_the_same_wherever_cells_end(spark):
+    rnd = random.Random(12)
+    pool = ["anderson", "andersen", "andersn", "anderrson", "abcd", "dbca", "al", "bl", "bob", None]
+    rows, at = [], {}
+    for e in range(12):
+        p = 0
+        for _ in range(60):
+            p += rnd.choice([1, 1, 1, 2, 30])
+            rows.append((f"e{e}", p, rnd.choice(pool[:3] if rnd.random() < 0.6 else pool), rnd.choice([p * 7, None])))
+            at.setdefault(f"e{e}", []).append(rows[-1])
+    df = spark.createDataFrame(rows, "entity string, pos long, key string, second long")
+    want = {(e, x[a][1], x[b - 1][1], b - a, x[a][3], x[b - 1][3], rep) for e, x in at.items() for a, b, rep in segment([r[2] for r in x])}
+    for cell in (1, 7, 1024):
+        got = [(r.entity, r.first_pos, r.last_pos, r.n, r.first_s, r.last_s, r.rep) for r in collapse_runs(df, cell).collect()]
+        assert set(got) == want and len(got) == len(want), cell
+
+
 def test_tied_positions_stay_apart_at_any_size(spark):
     tied = [("e", 5, "anderson", 0), ("e", 5, "bob", 1), ("e", 6, "bob", 2), ("far", -9, "carol", 0), ("far", 1, "carol", 1)]
     want = [("e", 5, 5, 1, "anderson"), ("e", 5, 6, 2, "bob"), ("far", -9, 1, 2, "carol")]

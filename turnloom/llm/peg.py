@@ -82,7 +82,8 @@ def guard(first: str, part: Rule) -> Rule:
 def nested(get: Callable[[], Rule]) -> Rule:
     """A rule named before it is defined; fails beyond ``MAX_DEPTH`` levels instead of exhausting the stack.
 
-    Results are remembered by position, so text that nests without end is tried once, not once per level.
+    Results are remembered by position, so text that nests without end is tried once, not once per level; what came
+    out under a limit of depth is not remembered, as it may come out otherwise from a lower level.
     """
 
     def run(text: str, pos: int, state: dict) -> Node | None:
@@ -90,12 +91,17 @@ def nested(get: Callable[[], Rule]) -> Rule:
         if pos in memo:
             return memo[pos]
         if state.get("depth", 0) >= MAX_DEPTH:
+            state["limited"] = True
             return None
+        before, state["limited"] = state.get("limited", False), False
         state["depth"] = state.get("depth", 0) + 1
         try:
-            memo[pos] = get()(text, pos, state)
+            got = get()(text, pos, state)
         finally:
             state["depth"] -= 1
-        return memo[pos]
+        if not state["limited"]:
+            memo[pos] = got
+        state["limited"] = state["limited"] or before
+        return got
 
     return run

@@ -1,10 +1,11 @@
 """Repeated consecutive events collapsed into runs (problem 6): optimal segmentation by pruned dynamic programming.
 
 A run costs a fixed boundary penalty plus the dissimilarity of its members to the run's best member; the cheapest
-segmentation of each entity's sequence is found by dynamic programming. Starts whose dissimilarity already
-exceeds what a boundary costs are pruned, so the table stays as narrow as the runs are pure. Cells of a bounded
-range of positions are solved alone; runs that touch a cell's edge are linked to their neighbours by pointer
-doubling, so no task sees a whole hot entity.
+segmentation of each entity's sequence is found by dynamic programming. Where two neighbours are too far apart for
+any run to hold both, the sequence falls into stretches that are solved alone, and starts that no run can reach are
+pruned. Cells of a bounded range of positions are read by themselves, so no task sees a whole hot entity: stretches
+within a cell are solved there; those at its edges carry their items (equal neighbours are one item), are linked with
+the next cell's by pointer doubling, and solved as a whole. Where cells end makes no difference to the result.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnloom.operators.sessions import double_pointers
@@ -61,53 +62,59 @@ def _distance(a: str, b: str) -> float:
     return SLIP if min(len(a), len(b)) > 3 and one_slip(a, b) else float("inf")
 
 
-def segment(keys: list[str | None]) -> list[tuple[int, int, str]]:
-    """Cheapest runs ``(start, end exclusive, best member)`` of a sequence; null keys are in no run.
+def stretches(keys: list[str | None]) -> list[list[list]]:
+    """Items ``[key, start, end exclusive]`` of equal neighbours, in stretches that no run can span. Null keys are in none."""
+    out: list[list[list]] = []
+    before = None
+    for p, k in enumerate(keys):
+        if k is not None:
+            if before is None or not _together(before, k):
+                out.append([[k, p, p + 1]])
+            elif before == k:
+                out[-1][-1][2] = p + 1
+            else:
+                out[-1].append([k, p, p + 1])
+        before = k
+    return out
+
 
-    Stretches of one equal key enter the dynamic program as a single item with a weight, which leaves its optimum
-    as it is. Ties go to the longer run that starts earlier.
+def _together(a: str, b: str) -> bool:
+    """Whether neighbours could stand in one run: both within one slip of some spelling."""
+    return a == b or _distance(a, b) < float("inf") or _near(a, b)
+
+
+def solve(items: list[tuple[str, int]]) -> list[tuple[int, int, str]]:
+    """Cheapest runs ``(first item, last item exclusive, best member)`` of a stretch of ``(key, how many)``.
+
+    Ties go to the longer run that starts earlier.
     """
-    items: list[list] = []  # key, start, end
-    out: list[tuple[int, int, str]] = []
-
-    def solve() -> None:
-        n = len(items)
-        best = [0.0] * (n + 1)
-        back: list = [None] * (n + 1)
-        for j in range(1, n + 1):
-            best[j] = float("inf")
-            counts: dict[str, int] = {}
-            for i in range(j - 1, -1, -1):
-                k, s, e = items[i]
-                if k not in counts and any(_distance(k, c) > 2 and not _near(k, c) for c in counts):
-                    break  # members of a run are one slip from its best member, so two from each other
-                counts[k] = counts.get(k, 0) + e - s
-                within, rep = min((sum(_distance(c, r) * w for c, w in counts.items()), -counts[r], r) for r in counts)[::2]
-                if within == float("inf"):
-                    continue  # a member further back may be near them all
-                if best[i] + BOUNDARY + within <= best[j]:
-                    best[j], back[j] = best[i] + BOUNDARY + within, (i, rep)
-        cuts, j = [], n
-        while j:
-            i, rep = back[j]
-            cuts.append((items[i][1], items[j - 1][2], rep))
-            j = i
-        out.extend(reversed(cuts))
-        items.clear()
+    n = len(items)
+    best = [0.0] * (n + 1)
+    back: list = [None] * (n + 1)
+    for j in range(1, n + 1):
+        best[j] = float("inf")
+        counts: dict[str, int] = {}
+        for i in range(j - 1, -1, -1):
+            k, many = items[i]
+            if k not in counts and any(_distance(k, c) > 2 and not _near(k, c) for c in counts):
+                break  # members of a run are one slip from its best member, so two from each other
+            counts[k] = counts.get(k, 0) + many
+            within, rep = min((sum(_distance(c, r) * w for c, w in counts.items()), -counts[r], r) for r in counts)[::2]
+            if within == float("inf"):
+                continue  # a member further back may be near them all
+            if best[i] + BOUNDARY + within <= best[j]:
+                best[j], back[j] = best[i] + BOUNDARY + within, (i, rep)
+    cuts, j = [], n
+    while j:
+        i, rep = back[j]
+        cuts.append((i, j, rep))
+        j = i
+    return cuts[::-1]
 
-    for p, k in enumerate(keys):
-        if k is None:
-            if items:
-                solve()
-        elif items and items[-1][0] == k:
-            items[-1][2] = p + 1
-        else:
-            if items and _distance(items[-1][0], k) == float("inf") and not _near(items[-1][0], k):
-                solve()  # nothing can span this place
-            items.append([k, p, p + 1])
-    if items:
-        solve()
-    return out
+
+def segment(keys: list[str | None]) -> list[tuple[int, int, str]]:
+    """Cheapest runs ``(start, end exclusive, best member)`` of a sequence; null keys are in no run."""
+    return [(x[a][1], x[b - 1][2], rep) for x in stretches(keys) for a, b, rep in solve([(k, e - s) for k, s, e in x])]
 
 
 def _near(a: str, b: str) -> bool:
@@ -123,67 +130,112 @@ def _near(a: str, b: str) -> bool:
     return False
 
 
-_SCHEMA = "entity string, node struct<cell:bigint,at:bigint>, cell bigint, first_pos bigint, last_pos bigint, n bigint, first_s bigint, last_s bigint, rep string, opens boolean, closes boolean"
+_RUN = ["first_pos", "last_pos", "n", "first_s", "last_s", "rep"]
+_ITEM = "struct<key:string,first_pos:bigint,last_pos:bigint,n:bigint,first_s:bigint,last_s:bigint>"
+_RUNS = "first_pos bigint, last_pos bigint, n bigint, first_s bigint, last_s bigint, rep string"
+_PARTS = f"entity string, cell bigint, at bigint, {_RUNS}, opens boolean, closes boolean, items array<{_ITEM}>"
 
 
-def collapse_runs(events: DataFrame, cell: int = CELL) -> DataFrame:
-    """Runs of ``(entity, pos, key, second)``: ``entity, first_pos, last_pos, n, first_s, last_s, rep``.
+def _runs_of(items: list[dict]) -> list[tuple]:
+    """The runs of one stretch as rows of ``_RUN``."""
+    out = []
+    for a, b, rep in solve([(x["key"], x["n"]) for x in items]):
+        out.append((items[a]["first_pos"], items[b - 1]["last_pos"], sum(x["n"] for x in items[a:b]), items[a]["first_s"], items[b - 1]["last_s"], rep))
+    return out
+
+
+def _cell(rows: list[tuple]) -> list[tuple]:
+    """Runs of one cell's ``(pos, key, second)``; those of a stretch at its edge carry the stretch's items once."""
+    out = []
+    for x in stretches([r[1] for r in rows]):
+        opens, closes, at = x[0][1] == 0, x[-1][2] == len(rows), x[0][1]
+        items = [{"key": k, "first_pos": rows[s][0], "last_pos": rows[e - 1][0], "n": e - s, "first_s": rows[s][2], "last_s": rows[e - 1][2]} for k, s, e in x]
+        for i, r in enumerate(_runs_of(items)):
+            out.append((at, *r, opens, closes, items if i == 0 and (opens or closes) else None))
+    return out
 
-    ``pos`` orders an entity's events (holes allowed, rows without it left out), ``key`` is null for events that
-    belong to no run and end one. Events with equal ``pos`` are ordered by key. Runs of one event are returned too.
-    """
-    rows = events.filter("pos is not null and entity is not null").withColumn("cell", F.floor(F.col("pos") / cell).cast("long"))
-    laid = rows.repartition(parallelism(rows.sparkSession), "entity", "cell").sortWithinPartitions("entity", "cell", "pos", "key")
+
+def _grouped(rows: DataFrame, keys: list[str], values: list[str], make, schema: str) -> DataFrame:
+    """``make(list of values)`` for each run of equal ``keys`` in sorted partitions: ``keys`` and the rows it gives."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         here, held = None, []
+        names = [c.split()[0] for c in schema.split(", ")]
 
         def close() -> list[tuple]:
-            if here is None:
-                return []
-            keys = [r[1] for r in held]
-            got = segment(keys)
-            return [
-                (here[0], {"cell": here[1], "at": a}, here[1], held[a][0], held[b - 1][0], b - a, held[a][2], held[b - 1][2], rep, a == 0, b == len(held))
-                for a, b, rep in got
-            ]
+            return [(*here, *r) for r in make(held)] if held else []
 
         for batch in batches:
             done: list[tuple] = []
-            secs = [None if pd.isna(x) else int(x) for x in batch["second"]]
-            for e, c, p, k, s in zip(batch["entity"], batch["cell"], batch["pos"], batch["key"], secs):
-                if here != (e, c):
+            for k, v in zip(zip(*(batch[c].tolist() for c in keys)), zip(*(_plain(batch[c]) for c in values))):
+                if k != here:
                     done += close()
-                    here, held = (e, c), []
-                held.append((int(p), k, s))
-            yield _frame(done)
-        yield _frame(close())
+                    here, held = k, []
+                held.append(v)
+            yield _frame(done, names)
+        yield _frame(close(), names)
+
+    return rows.select(*keys, *values).mapInPandas(run, schema)
+
+
+def _plain(c: pd.Series) -> list:
+    return [None if isinstance(x, float) and x != x else int(x) if isinstance(x, float) else x for x in c.tolist()]
+
+
+def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
+    out = pd.DataFrame(rows, columns=names)
+    return out.astype({c: "Int64" for c in ("first_s", "last_s")}) if rows else out
+
+
+def _joined(held: list[tuple]) -> list[tuple]:
+    """Runs of the linked stretches of several cells, in order: equal neighbours at a seam are one item."""
+    items: list[dict] = []
+    for (part,) in held:
+        for x in part:
+            x = dict(x.asDict() if hasattr(x, "asDict") else x)
+            for c in ("first_s", "last_s"):
+                x[c] = None if x[c] is None or x[c] != x[c] else int(x[c])
+            if items and items[-1]["key"] == x["key"]:
+                items[-1] |= {"last_pos": x["last_pos"], "n": items[-1]["n"] + x["n"], "last_s": x["last_s"]}
+            else:
+                items.append(x)
+    out, start = [], 0
+    for i in range(1, len(items) + 1):
+        if i == len(items) or not _together(items[i - 1]["key"], items[i]["key"]):
+            out += _runs_of(items[start:i])
+            start = i
+    return out
 
-    parts = laid.select("entity", "cell", "pos", "key", "second").mapInPandas(run, _SCHEMA)
-    parts = cut(parts)
-    # A run is known by its cell and its place there; positions may be tied. Runs at cell edges: holes may leave whole cells empty, so the neighbour is the entity's cell before.
-    from pyspark.sql import Window
 
+def collapse_runs(events: DataFrame, cell: int = CELL) -> DataFrame:
+    """Runs of ``(entity, pos, key, second)``: ``entity, first_pos, last_pos, n, first_s, last_s, rep``.
+
+    ``pos`` orders an entity's events (holes allowed, rows without it left out), ``key`` is null for events that
+    belong to no run and end one. Events with equal ``pos`` are ordered by key. Runs of one event are returned too.
+    """
+    rows = events.filter("pos is not null and entity is not null").withColumn("cell", F.floor(F.col("pos") / cell).cast("long"))
+    n = parallelism(rows.sparkSession)
+    laid = rows.repartition(n, "entity", "cell").sortWithinPartitions("entity", "cell", "pos", "key")
+    parts = cut(_grouped(laid, ["entity", "cell"], ["pos", "key", "second"], _cell, _PARTS))
+    # Cells meet where their edge stretches might run on; holes may leave cells empty, so the neighbour is the entity's cell before.
     cells = rows.select("entity", "cell").distinct()
-    before = F.lag("cell").over(Window.partitionBy("entity").orderBy("cell"))
-    order = cells.withColumn("before", before).filter("before is not null")
-    left = parts.filter("closes").select("entity", F.col("cell").alias("before"), F.col("node").alias("parent"), F.col("rep").alias("parent_rep"))
-    right = parts.filter("opens").join(order, ["entity", "cell"]).join(left, ["entity", "before"])
-    d = F.levenshtein("rep", "parent_rep")
-    swapped = (F.length("rep") == F.length("parent_rep")) & (d == 2) & (F.array_join(F.array_sort(F.split("rep", "")), "") == F.array_join(F.array_sort(F.split("parent_rep", "")), ""))
-    linked = right.filter((d <= 1) | swapped).select(F.col("entity").alias("key"), "node", "parent")
-    roots = double_pointers(linked).select(F.col("key").alias("entity"), "node", "root")
-    joined = parts.join(roots, ["entity", "node"], "left").withColumn("root", F.coalesce("root", "node"))
-    return joined.groupBy("entity", "root").agg(
-        F.min("first_pos").alias("first_pos"), F.max("last_pos").alias("last_pos"), F.sum("n").alias("n"),
-        F.min_by("first_s", "first_pos").alias("first_s"), F.max_by("last_s", "last_pos").alias("last_s"), F.min_by("rep", "first_pos").alias("rep"),
-    ).drop("root")
-
-
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    cols = ["entity", "node", "cell", "first_pos", "last_pos", "n", "first_s", "last_s", "rep", "opens", "closes"]
-    out = pd.DataFrame(rows, columns=cols)
-    return out.astype({"first_s": "Int64", "last_s": "Int64"}) if rows else out
+    order = cells.withColumn("before", F.lag("cell").over(Window.partitionBy("entity").orderBy("cell"))).filter("before is not null")
+    edges = parts.filter("items is not null").select("entity", "cell", "at", "opens", "closes", "items")
+    left = edges.filter("closes").select("entity", F.col("cell").alias("before"), F.struct("cell", "at").alias("parent"), F.element_at("items", -1)["key"].alias("last_key"))
+    right = edges.filter("opens").join(order, ["entity", "cell"]).join(left, ["entity", "before"])
+    # Two slips are four letters at most; whether the keys go together is settled when the stretch is solved.
+    linked = right.filter(F.levenshtein(F.element_at("items", 1)["key"], F.col("last_key")) <= 4)
+    linked = cut(linked.select(F.col("entity").alias("key"), F.struct("cell", "at").alias("node"), "parent"))
+    done = parts.select("entity", *_RUN)
+    if linked.isEmpty():
+        return done
+    roots = double_pointers(linked)
+    ends = roots.select("key", F.col("root").alias("node")).distinct().withColumn("root", F.col("node"))
+    member = cut(roots.unionByName(ends).select(F.col("key").alias("entity"), F.col("node")["cell"].alias("cell"), F.col("node")["at"].alias("at"), F.col("root")["cell"].alias("root_cell"), F.col("root")["at"].alias("root_at")))
+    apart = parts.join(member.select("entity", "cell", "at"), ["entity", "cell", "at"], "left_anti").select("entity", *_RUN)
+    whole = edges.join(member, ["entity", "cell", "at"]).repartition(n, "entity", "root_cell", "root_at").sortWithinPartitions("entity", "root_cell", "root_at", "cell", "at")
+    solved = _grouped(whole, ["entity", "root_cell", "root_at"], ["items"], _joined, f"entity string, root_cell bigint, root_at bigint, {_RUNS}")
+    return apart.unionByName(solved.select("entity", *_RUN))
 
 
 def clock_seconds(text: Column) -> Column:

@@ -24,11 +24,21 @@ ALWAYS = {
     "de": "Dr Prof Hr Fr Frl St Nr Str Mio Mrd Tsd ca bzw evtl ggf inkl exkl vgl Abs Art Bd Kap S z d h u a o B i "
     "sog bspw Dipl Ing Hbf Jh geb gest Mag",
     "fr": "M MM Mme Mmes Mlle Dr Pr Prof St Ste Mgr Me art chap fig vol p pp no env cf av apr J.-C",
+    "es": "Sr Sra Srta Sres D Dª Dña Dr Dra Dres Prof Profa Lic Ing Arq Ud Uds Vd Vds Mons Fr Excmo Gral Cnel Av Avda C núm n art cap fig pág págs vol p pp ej aprox",
+    "it": "Sig Sigg Sig.ra Sig.na Dott Dott.ssa Dr Prof Prof.ssa Avv Ing Arch Geom On Rag S SS Mons Cav Gen Col art cap fig pag pagg vol p pp n cfr es ca",
+    "pt": "Sr Sra Srs Srta D Dr Dra Drs Prof Profa Eng Arq Exmo Exma V Gen Cel Av R art cap fig pág págs vol p pp n núm ex aprox",
+    "nl": "Dhr dhr Mevr mevr Mw mw Mej Dr Drs Ir Ing Mr Prof St Ds Gen Kol Nr art afb blz hfst pag vol p pp nl bijv bv incl excl ca vgl resp tel",
 }
+# Titles that stand before a name in any of the languages, for texts that give no sign of theirs.
+TITLES = "Sra Srta Dra Dott Avv Sig Mme Mlle Hr Frl Dhr Mevr Mw Profa Drs"
 NUMBER = {
     "en": "Jan Feb Mar Apr Jun Jul Aug Sep Sept Oct Nov Dec No Nos",
     "de": "Jan Feb Apr Aug Sept Okt Nov Dez",
     "fr": "janv févr avr juil sept oct nov déc",
+    "es": "ene feb mar abr jun jul ago sept oct nov dic núm pág",
+    "it": "gen febbr mar apr magg giu lug ag sett ott nov dic n pag",
+    "pt": "jan fev mar abr jun jul ago set out nov dez núm pág",
+    "nl": "jan feb mrt apr jun jul aug sept okt nov dec nr blz",
 }
 WEEKDAY_OR_MONTH = (
     "(?:Mon|Tues|Wednes|Thurs|Fri|Satur|Sun)day|January|February|March|April|May|June|July|August|September|"
@@ -38,6 +48,10 @@ _HINTS = {
     "en": "the of and to in is was for with that on at",
     "de": "der die das und ist von mit den dem ein eine wurde nicht am wer bei",
     "fr": "le la les et est de du des une un dans pour que près reste",
+    "es": "el la los las y de del que en un una con por para es fue pero según",
+    "it": "il lo la gli di che un una per con del della dei nel nella non è sono",
+    "pt": "os um uma não com para dos das ao pelo pela que de da em foi mas são",
+    "nl": "het een van de en op voor niet zijn met dat ook aan bij werd naar",
 }
 
 _CLOSE = "\"'”’“»›)\\]」』）】》〉"
@@ -48,7 +62,7 @@ def _words(spec: str) -> str:
     return "|".join(re.escape(w) for w in spec.split())
 
 
-def _table(lang: str) -> list[tuple[bool, str, str]]:
+def _table(lang: str, more: str = "") -> list[tuple[bool, str, str]]:
     rows = []
     if lang == "en":
         rows += [
@@ -61,7 +75,7 @@ def _table(lang: str) -> list[tuple[bool, str, str]]:
             (False, r"\b[a-zäöü]\.$", r"\s+[A-Za-zäöü]\."),
         ]
     rows += [
-        (False, rf"(?:^|[\s({_OPEN}’'])(?:{_words(ALWAYS[lang])})\.$", r"\s*\S"),
+        (False, rf"(?:^|[\s({_OPEN}’'])(?:{_words(f"{ALWAYS[lang]} {more}")})\.$", r"\s*\S"),
         (False, rf"(?:^|[\s(])(?:{_words(NUMBER[lang])})\.$", r"\s+\d"),
         (False, rf"(?:^|[\s({_OPEN}.\-])[A-ZÀ-Þ]\.$", r"\s*[A-ZÀ-Þ]"),  # initials
     ]
@@ -83,7 +97,15 @@ _UNCASED = [
 ]
 TABLES: dict[str, list[tuple[bool, str, str]]] = {
     **{k: _table(k) + _LATIN for k in ALWAYS},
-    "xx": _LATIN,
+    "xx": _table("en", TITLES) + _LATIN,  # Latin letters without a sign of their language
+    "ru": [
+        (False, r"(?:^|[\s(«])(?:ул|пл|пр|им|проф|акад|доц|стр|рис|тыс|млн|млрд|руб|др|см|ср|гр|тов|о|с|т\.\s?е|т\.\s?н|т\.\s?к)\.$", r"\s*\S"),
+        (False, r"(?<![\d\w])(?<!\d\s)г\.$", r"\s*[А-ЯЁ]"),  # a town; after a number it is a year, which may end a sentence
+        (False, r"(?:^|[\s(«])[А-ЯЁ]\.$", r"\s*[А-ЯЁ]"),
+        (False, r"\w\.$", r"\w"),
+        (False, r"", r"\s*[,;:%]"),
+        (True, rf"[.!?…][{_CLOSE}]*$", rf"\s+[{_OPEN}–—-]*\s*(?:[А-ЯЁA-Z0-9]|$)|\s*$"),
+    ],
     "ar": [(False, r"(?:^|[\s(«])[ء-ي]{1,2}\.$", r"\s*\S"), *_UNCASED],
     "hi": [(False, r"(?:^|[\s(\"'])(?:डॉ|श्री|प्रो|कु|पं|सुश्री|[क-ह])\.$", r"\s*\S"), *_UNCASED],
     "ja": [
@@ -110,6 +132,8 @@ TABLES: dict[str, list[tuple[bool, str, str]]] = {
 }
 _COMPILED = {k: [(b, re.compile(x), re.compile(y)) for b, x, y in v] for k, v in TABLES.items()}
 
+LONGEST = 48  # characters before a mark that a rule may look at: longer than any abbreviation; what follows is seen whole
+
 _UNIT = re.compile(r">>+|[\n\r\u2028\u2029\u0085\v\f]+")
 _PLACES = re.compile(rf"[.!?…。！？｡．।॥؟۔]+[{_CLOSE}]*")
 _THAI_PLACES = re.compile(rf"[.!?…]+[{_CLOSE}]*|(?<=\S)(?=\s)")
@@ -118,7 +142,7 @@ _SIGNS = re.compile(r"[\"“”„«»‹›()\[\]「」『』（）【】《》
 _WORD = re.compile(r"[^\W\d_]+")
 _SCRIPTS = (
     ("th", re.compile("[฀-๿]")), ("ja", re.compile("[぀-ヿ]")), ("zh", re.compile("[㐀-鿿]")),
-    ("hi", re.compile("[ऀ-෿]")), ("ar", re.compile("[֐-ࣿ]")),
+    ("hi", re.compile("[ऀ-෿]")), ("ar", re.compile("[֐-ࣿ]")), ("ru", re.compile("[Ѐ-ӿ]")),
 )
 _HINT_SETS = {k: frozenset(v.split()) for k, v in _HINTS.items()}
 
@@ -133,7 +157,7 @@ def language_of(unit: str) -> str:
             return lang
     score = {k: sum(w.lower() in s for w in letters) for k, s in _HINT_SETS.items()}
     best = max(score, key=score.get)
-    return best if score[best] else "en"
+    return best if score[best] else "xx"
 
 
 def enclosed(unit: str) -> list[tuple[int, int]]:
@@ -176,9 +200,9 @@ def _breaks(unit: str) -> list[int]:
         if k < len(inside) and inside[k][0] < at < inside[k][1]:
             # A closing sign may have been taken in with the mark inside the quotation.
             continue
-        before, after = unit[max(0, at - 48) : at], unit[at : at + 48]
+        first = max(0, m.start() - LONGEST)
         for brk, left, right in rules:
-            if left.search(before) and right.match(after):
+            if left.search(unit, first, at) and right.match(unit, at):
                 if brk:
                     cuts.append(at)
                 break

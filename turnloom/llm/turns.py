@@ -1,15 +1,20 @@
 """Speech transcripts into clean speaker turns (problem 7), by a parsing-expression grammar.
 
     Transcript <- Item*
-    Item       <- Label / Talk / Stamp / Marker / Abbreviation / Note / Word / Char
+    Item       <- Label / Talk / Stamp / Voice / Bracket / Marker / Abbreviation / Note / Word / Char
+    Label      <- Heading &{the table of names says that it names a speaker}
+    Heading    <- (Word '.'? ','? Blank)? Word Role? ':' &(Space / End)
+    Talk       <- (!Label Plain)+
     Stamp      <- '[' Clock ']' / '(' Clock ')' / '<' Clock '>' / Clock with seconds
-    Label      <- '<v' Name '>' / '[' Name ']' / Name Role? ':'
     Note       <- '[' NoteBody* ']' / '(' ... ')' / '{' ... '}' / '<' ... '>' / '*' ... '*' / music
     NoteBody   <- Note / any other character than the closing one
 
-The tree is then folded into turns: labels open turns, words are gathered, stamps and notes fall away;
-hesitation sounds and comma-set empty phrases are dropped from the words. Rows are independent of each other,
-so the work is one pass over partitions with no shuffle.
+    Names      <- (Voice / Bracketed / Heading / Other)*
+
+A text is parsed by ``Names`` first: its headings and the names in brackets fill the table of names, which settles
+what is a label where a surname follows the last word of talk. The tree of ``Transcript`` is then folded into turns:
+labels open turns, words are gathered, stamps and notes fall away; hesitation sounds and comma-set empty phrases are
+dropped from the words. Rows are independent of each other, so the work is one pass over partitions.
 """
 
 from __future__ import annotations
@@ -41,6 +46,7 @@ NOT_NAMES = frozenset(
 )
 
 _W = r"\p{L}[\p{L}\p{M}'’\-]*"
+_N = r"\p{L}[\p{L}\p{M}'’\-]*+"
 _CLOCK = r"\d{1,3}:\d{2}(?::\d{2})?(?:[.,]\d{1,3})?|\d{1,3}h\d{1,2}m(?:\d{1,2}s)?|\d{1,3}m\d{1,2}s"
 
 _stamp = choice(
@@ -110,9 +116,25 @@ _note = choice(_note_rule("[", "]"), _note_rule("(", ")"), _note_rule("{", "}"),
 _memo_note = nested(lambda: _note)
 
 
-def _known_label(text: str, pos: int, state: dict) -> Node | None:
-    hit = state["labels"].get(pos)
-    return Node("label", pos, hit[0], value=hit[1]) if hit else None
+#: A heading is sought from where a word begins; ``Talk`` runs up to the next one.
+_HEAD = rf"(?<![\p{{L}}\p{{M}}])(?<!\p{{L}}['’\-])(?:(?P<one>{_N})(?P<mark>\.?,?)[ \u00a0])?(?P<two>{_N})(?P<role>\s*(?:\([^()\n]{{1,40}}\))?\s?):(?=\s|$)"
+_heading_of = regex.compile(_HEAD, regex.V1)
+_MAY_NAME = re.compile(r":|\[|<v")
+
+
+def _heading(text: str, pos: int, state: dict) -> Node | None:
+    m = _heading_of.match(text, pos)
+    if m is None:
+        return None
+    first = m["one"] + m["mark"] if m["one"] is not None else None
+    return Node("heading", pos, m.end(), value=[m["two"]] if first is None else [first, m["two"]])
+
+
+def _label(text: str, pos: int, state: dict) -> Node | None:
+    """A heading that the table of names takes for a speaker's."""
+    name = state["labels"].get(pos)
+    n = _heading(text, pos, state) if name else None
+    return Node("label", pos, n.end, value=name) if n else None
 
 
 def _bracket_label(text: str, pos: int, state: dict) -> Node | None:
@@ -146,11 +168,37 @@ def _talk(text: str, pos: int, state: dict) -> Node | None:
     return Node("word", pos, min(m.end(), stop))
 
 
-TRANSCRIPT = star("transcript", choice(_known_label, _talk, _stamp, _voice_label, _bracket_label, _marker, _abbrev, _memo_note, _word, _char))
+TRANSCRIPT = star("transcript", choice(_label, _talk, _stamp, _voice_label, _bracket_label, _marker, _abbrev, _memo_note, _word, _char))
+
+_bracketed = guard("<[", rx("named", r"<v[ .][^<>\n]{1,80}>|\[(?:\p{Lu}[\p{L}'’.\-]*,? ?){1,3}\]"))
+_opens_name = regex.compile(r"<v[ .][^<>\n]{1,80}>|\[(?:\p{Lu}[\p{L}'’.\-]*,? ?){1,3}\]", regex.V1)
+
 
-_ROLE_END = regex.compile(r"\s*(?:\([^()\n]{1,40}\))?\s?$")
-#: A name of one or two words read backwards from its colon.
-_TAIL = regex.compile(rf"((?:[\p{{L}}\p{{M}}'’\-]*\p{{L}})(?:[ \u00a0],?\.?[\p{{L}}\p{{M}}'’\-]*\p{{L}})?)", regex.V1)
+def _next_heading(text: str, pos: int) -> int:
+    """Where the next heading begins from ``pos`` on, -1 if nowhere. It ends in a colon, so only the two words (and what
+    is said of their role) before each colon are tried."""
+    at = pos
+    while (c := text.find(":", at)) >= 0:
+        if text[c + 1 : c + 2].isspace() or c + 1 == len(text):
+            part = text[at:c].rstrip()
+            if part.endswith(")") and (k := part.rfind("(")) >= 0:
+                part = part[:k].rstrip()
+            words = part.rsplit(None, 2)
+            m = _heading_of.search(text, at + (len(part) - len(part.lstrip()) + len(words[0]) if len(words) == 3 else 0), c + 2)
+            if m and m.end() == c + 1:
+                return m.start()
+        at = c + 1
+    return -1
+
+
+def _other(text: str, pos: int, state: dict) -> Node | None:
+    """Whatever stands before the next name."""
+    m = _opens_name.search(text, pos + 1)
+    ends = [x for x in (_next_heading(text, pos + 1), m.start() if m else -1) if x >= 0]
+    return Node("other", pos, min(ends, default=len(text)))
+
+
+NAMES = star("names", choice(_bracketed, _heading, _other))
 
 
 _HES = re.compile(rf"(?<![\w'’\-])(?=[uerahmUERAHM])(?:{HESITATIONS})(?![\w'’]|-\w)", re.I)
@@ -158,9 +206,7 @@ _PHRASE = re.compile(rf"(?:(?<=[,.!?;:…])|^)\s*(?:{'|'.join(PHRASES)})\s*(?=,)
 _SPOKEN = re.compile(r"\S*[^\W_]\S*")
 _SPACE, _BEFORE_MARK, _COMMAS = re.compile(r"\s+"), re.compile(r"\s+([,.!?;:])"), re.compile(r",(?:\s*,)+")
 _IN_BRACKETS, _ENDS_CLOCK = re.compile(r"\([^()]*\)"), re.compile(r"\d:\d\d[\d.:]*\s*$")
-_NAMED = regex.compile(r"<v[ .]([^<>\n]{1,80})>|\[((?:\p{Lu}[\p{L}'’.\-]*,? ?){1,3})\]", regex.V1)
-_PREVIOUS, _COLON = regex.compile(rf"({_W})[,;]?\s*$", regex.V1), re.compile(r":(?=\s|$)")
-_NAME_SPACE = re.compile("[ \u00a0]")
+_PREVIOUS = regex.compile(rf"({_W})[,;]?\s*$", regex.V1)
 
 
 def _name_of(label: str) -> tuple[str, str] | None:
@@ -186,38 +232,36 @@ def _shape(w: str) -> str:
     return "T" if w[0].isupper() else "l"
 
 
-def find_labels(text: str) -> tuple[dict, set]:
-    """Positions of ``Name:`` labels, ``{start: (end, (first, surname))}``, and the surnames met.
+def _stands_alone(text: str, start: int) -> bool:
+    """Nothing, a line's end, a marker, a note, a stamp or a sentence's end comes before ``start``."""
+    k = start
+    while k and text[k - 1].isspace():
+        k -= 1
+        if text[k] == "\n":
+            return True
+    return not k or text[k - 1] in ">])}♪*.!?" or _ENDS_CLOCK.search(text[max(0, k - 16) : k]) is not None
 
-    A label of two words is told from one of a surname after the last word of talk by what else the text says:
+
+def table_of_names(text: str) -> tuple[dict, set]:
+    """Which headings of ``text`` are labels, ``{start: (first, surname)}``, and the surnames met.
+
+    A heading of two words is told from one of a surname after the last word of talk by what else the text says:
     names that stand alone (at a line's start, after ``>>``, a stamp or a note), names in brackets, and words
     whose letter case differs from the talk before them.
     """
     found, full, surnames = [], {}, set()
-    for m in _NAMED.finditer(text):
-        n = _name_of(m[1] or m[2])
-        if n and _plausible(n[0].split() + [n[1]]):
-            surnames.add(n[1])
-            if len(n[0]) > 1:
-                full.setdefault(n[1], []).append(n[0])
-    for m in _COLON.finditer(text):
-        at = m.start()
-        if at and text[at - 1].isdigit():
-            continue
-        floor = max(0, at - 110)
-        left = text[floor:at]
-        role = _ROLE_END.search(left)
-        core_end = role.start() if role else len(left)
-        t = _TAIL.match(left[:core_end][::-1])
-        if not t:
-            continue
-        core = t[1][::-1]
-        start = floor + core_end - t.end(1)
-        parts = _NAME_SPACE.split(core)
-        before = text[max(0, start - 60) : start]
-        hard = not before.strip() or before.rstrip(" ")[-1:] in "\n>])}♪*.!?" or _ENDS_CLOCK.search(before) is not None
-        prev = _PREVIOUS.search(before)
-        found.append((start, at + 1, parts, hard, prev[1] if prev else ""))
+    if not _MAY_NAME.search(text):
+        return {}, surnames
+    for k in NAMES(text, 0, {}).kids:
+        if k.name == "named":
+            n = _name_of(text[k.start + (3 if text[k.start] == "<" else 1) : k.end - 1])
+            if n and _plausible(n[0].split() + [n[1]]):
+                surnames.add(n[1])
+                if len(n[0]) > 1:
+                    full.setdefault(n[1], []).append(n[0])
+        elif k.name == "heading":
+            prev = _PREVIOUS.search(text[max(0, k.start - 60) : k.start])
+            found.append((k.start, k.end, k.value, _stands_alone(text, k.start), prev[1] if prev else ""))
     sure, loose = [], []
     for start, end, parts, hard, prev in found:
         if len(parts) == 2 and _plausible(parts):
@@ -235,24 +279,24 @@ def find_labels(text: str) -> tuple[dict, set]:
         surnames.add(n[1])
         if len(n[0]) > 1:
             full.setdefault(n[1], []).append(n[0])
-    labels = {s: (e, n) for s, e, n in sure}
+    labels = {s: n for s, _, n in sure}
     for start, end, parts in loose:
         last = parts[-1].strip(".,").lower()
         if len(parts) == 2:
             first = parts[0].strip(".,").lower()
             if first in full.get(last, ()):
-                labels[start] = (end, (first, last))
+                labels[start] = (first, last)
                 continue
             if last in surnames or (last not in NOT_NAMES and first in NOT_NAMES and _shape(parts[1]) != "l"):
-                labels[start + len(parts[0]) + 1] = (end, ("", last))
+                labels[start + len(parts[0]) + 1] = ("", last)
                 surnames.add(last)
                 continue
             if _plausible(parts):
-                labels[start] = (end, (first, last))
+                labels[start] = (first, last)
                 surnames.add(last)
                 full.setdefault(last, []).append(first)
         elif last in surnames or (_plausible(parts) and _shape(parts[0]) != "l"):
-            labels[start] = (end, ("", last))
+            labels[start] = ("", last)
             surnames.add(last)
     return labels, surnames
 
@@ -278,7 +322,7 @@ def parse_turns(text: str | None) -> tuple[list[tuple[str, str, int]], bool]:
     """
     if not text or not text.strip():
         return [], False
-    labels, surnames = find_labels(text)
+    labels, surnames = table_of_names(text)
     state = {"labels": labels, "surnames": surnames, "starts": sorted(labels)}
     tree = TRANSCRIPT(text, 0, state)
     firsts: dict[str, list[str]] = {}

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from turnloom.llm.fmindex import FMIndex, WaveletMatrix, suffix_array
-from turnloom.llm.leaks import leaks, removal_spans
+from turnloom.llm.leaks import aligned, leaks, removal_spans
 from turnloom.llm.mixing import invert, largest_exact, mixture, placed, plan, pour, reached, tilts
 from turnloom.llm.names import LINKAGE, UNIT, agreement, average_linkage, clustered, components, entities, entity_pairs, parse_form, score, similar_pairs, top_partners
 from turnloom.llm.runs import BOUNDARY, _distance, collapse_runs, one_slip, segment, speaker_runs
@@ -136,6 +136,32 @@ def test_leaks_match_what_was_planted(spark):
     assert leaks(dd, ii.limit(0)).count() == 0 and leaks(dd.limit(0), ii).count() == 0
 
 
+def test_no_case_is_lost_before_the_alignment(spark):
+    rnd = random.Random(21)
+    pool = WORDS[:150]  # common words, so that phrases are shared by many items and documents
+    items = [(i, " ".join(rnd.choices(pool, k=rnd.randrange(6, 40)))) for i in range(25)]
+    docs = []
+    for d in range(60):
+        body = rnd.choices(pool, k=200)
+        words = items[d % 25][1].split()
+        for k in range(2, len(words), 3):
+            words[k] = "zzz"  # every third word changed
+        if d % 2:
+            body[60:60] = words
+        docs.append((d, " ".join(body)))
+    found = {(r.item_id, r.doc_id): r.words for r in leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    vocab = {w: k for k, w in enumerate([*pool, "zzz"])}
+    number = lambda t: np.array([vocab[w] for w in t.split()])
+    want = {}
+    for i, t in items:
+        x = number(t)
+        for d, b in docs:
+            n = aligned(x, number(b))[0]
+            if n >= max(5, -(-len(x) * 2 // 5)):
+                want[i, d] = n
+    assert found == want and len(want) > 20
+
+
 def test_shared_passages_are_no_stock(spark):
     rnd = random.Random(3)
     stock, passage, copy = "Read the passage and choose the best answer. ", rnd.sample(WORDS[:2000], 40), rnd.sample(WORDS[2000:], 40)

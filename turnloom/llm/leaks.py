@@ -1,10 +1,13 @@
 """Evaluation texts leaking into training text (problem 8): an FM-index per training shard.
 
 Each partition of the corpus is cut into shards of a bounded number of words. A shard's words are numbered by the
-vocabulary of the test items (runs of other words become one number), an FM-index is built over them, and every
-three-word phrase of every item is sought backwards through wavelet-tree ranks; rows are located by sampled suffix
-positions. Documents where an item's phrases gather in one place are then aligned with it word by word, and the
-matching spans are merged. The corpus is read once per block of items and never shuffled.
+vocabulary of the test items (runs of other words become one number), an FM-index is built over them, and two-word
+phrases of every item are sought backwards through wavelet-tree ranks; rows are located by sampled suffix
+positions. Places where enough of an item's phrases gather are then aligned with it word by word, and the matching
+spans are merged. The corpus is read once per block of items.
+
+No case is lost on the way: counted are stretches of two words or more, so a case of w words holds w / 2 of the item's
+two-word phrases; half of those may be among its commonest, which are not sought, so the rest are found.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from pyspark.sql import functions as F
 
 from turnloom.llm.fmindex import FMIndex
 
-PHRASE = 3  # words
+PHRASE = 2  # words, as many as the shortest stretch that counts
 SHARE = 0.4  # of an item's words, in order and in one place
 LEAST = 5  # words in order that any case has
 SEVERAL = 3  # items that share a stock instruction and go on differently
@@ -27,6 +30,7 @@ PART = 1 / 3  # of the items that share it, a stock instruction is no more
 COMMON = 20  # items that open with one sentence, which then is stock however large a part it is
 GAP = 24  # words between two matching stretches of one place
 SHARD_WORDS = 400_000
+PAIRS = 2_000_000  # places of phrases in items and documents that are matched at a time
 ITEM_BLOCK = 20_000  # items sought per pass over the corpus; what a task holds of them is bounded by this
 
 _TAG = re.compile(r"<!--.*?-->|<[^<>]{0,300}>|&[a-z]{2,8};", re.S | re.I)
@@ -104,14 +108,17 @@ def aligned(item: np.ndarray, doc: np.ndarray) -> tuple[int, int, int]:
             k += 1
         runs.append((int(j), int(i), k))
     runs.sort()
+    longest = max((k for _, _, k in runs), default=0)
     best: list[tuple[int, int]] = []
     top = (0, 0, 0)
     for a, (j, i, k) in enumerate(runs):
         score, first = k, j
-        for b in range(a):
+        for b in range(a - 1, -1, -1):
             pj, pi, pk = runs[b]
+            if pj + longest + GAP < j:
+                break  # nothing before reaches here
             cut = max(0, pj + pk - j, pi + pk - i)
-            if k - cut >= 1 and pi < i and pj < j and j - (pj + pk) <= GAP and best[b][0] + k - cut > score:
+            if k - cut >= 1 and pi < i and pj < j and j - (pj + pk) <= GAP and best[b][0] + k - cut >= score:
                 score, first = best[b][0] + k - cut, best[b][1]
         best.append((score, first))
         if score > top[0]:
@@ -136,12 +143,57 @@ class _Items:
                 vocab.setdefault(x, len(vocab) + 2)  # 0 ends the text, 1 is any other word
         self.vocab = vocab
         self.words = [np.array([vocab[x] for x in w], dtype=np.int64) for w in core]
+        self.need = np.array([max(LEAST, int(np.ceil(SHARE * len(w) - 1e-9))) for w in self.words], dtype=np.int64)
+        # A case holds half of ``need`` in phrases; as many of the commonest phrases as half of that are not sought.
+        held = -(-self.need // 2)
+        left_out = held // 2
+        self.seeds = held - left_out
         grams: dict[tuple, list[tuple[int, int]]] = {}
-        for q, w in enumerate(self.words):
-            for p in range(len(w) - PHRASE + 1):
-                grams.setdefault(tuple(w[p : p + PHRASE].tolist()), []).append((q, p))
+        places = [[tuple(w[p : p + PHRASE].tolist()) for p in range(len(w) - PHRASE + 1)] if len(w) >= LEAST else [] for w in self.words]
+        seen: dict[tuple, int] = {}
+        for x in places:
+            for g in x:
+                seen[g] = seen.get(g, 0) + 1
+        for q, x in enumerate(places):
+            common = sorted(range(len(x)), key=lambda p: (-seen[x[p]], p))[: left_out[q]]  # noqa: B023
+            skipped = set(common)
+            for p, g in enumerate(x):
+                if p not in skipped:
+                    grams.setdefault(g, []).append((q, p))
         self.patterns = np.array(list(grams) or np.zeros((0, PHRASE)), dtype=np.int64).reshape(-1, PHRASE)
-        self.sources = list(grams.values())
+        flat = [x for v in grams.values() for x in v]
+        self.ptr = np.concatenate(([0], np.cumsum([len(v) for v in grams.values()], dtype=np.int64))).astype(np.int64)
+        self.item_of, self.place_of = (np.array([x[k] for x in flat], dtype=np.int64) for k in (0, 1))
+
+
+def _gathered(it: _Items, which: np.ndarray, doc: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``(document, item, places in the document, places in the item)`` of the pairs with enough phrases in common.
+
+    ``which, doc, at`` are phrases found and where, in order of documents. Pairs are laid out for so many documents at
+    a time that about ``PAIRS`` are held, however many items share a phrase.
+    """
+    fan = it.ptr[which + 1] - it.ptr[which]
+    total = np.cumsum(fan)
+    lo = 0
+    while lo < len(which):
+        base = total[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(total, base + PAIRS, side="right")))
+        hi = int(np.searchsorted(doc, doc[hi - 1], side="right"))  # whole documents
+        part = fan[lo:hi]
+        rows = np.repeat(np.arange(lo, hi), part)
+        source = np.repeat(it.ptr[which[lo:hi]], part) + np.arange(len(rows)) - np.repeat(np.cumsum(part) - part, part)
+        q, place = it.item_of[source], it.place_of[source]
+        order = np.lexsort((place, q, doc[rows]))
+        d, q, place, where = doc[rows][order], q[order], place[order], at[rows][order]
+        pair = np.concatenate(([True], (d[1:] != d[:-1]) | (q[1:] != q[:-1])))
+        fresh = pair | np.concatenate(([True], place[1:] != place[:-1]))
+        starts = np.flatnonzero(pair)
+        distinct = np.add.reduceat(fresh.astype(np.int64), starts)
+        ends = np.append(starts[1:], len(d))
+        for k in np.flatnonzero(distinct >= it.seeds[q[starts]]):
+            a, b = starts[k], ends[k]
+            yield int(d[a]), int(q[a]), where[a:b], place[a:b]
+        lo = hi
 
 
 def _search_shard(docs: list[tuple[int, str]], coded: list[np.ndarray], it: _Items) -> list[tuple]:
@@ -165,36 +217,25 @@ def _search_shard(docs: list[tuple[int, str]], coded: list[np.ndarray], it: _Ite
     if not len(which):
         return []
     rep = np.repeat(which, size[which])
-    rows = np.concatenate([np.arange(lo[k], hi[k]) for k in which])
+    rows = np.repeat(lo[which], size[which]) + np.arange(len(rep)) - np.repeat(np.cumsum(size[which]) - size[which], size[which])
     where = index.locate(rows)
     begin = np.array(starts)
+    order = np.argsort(where, kind="stable")
+    rep, where = rep[order], where[order]
     doc_no = np.searchsorted(begin, where, side="right") - 1
-    local = where - begin[doc_no]
-    hits: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for g, d, p in zip(rep.tolist(), doc_no.tolist(), local.tolist()):
-        for q, ip in it.sources[g]:
-            hits.setdefault((d, q), []).append((p, ip))
     out = []
-    for (d, q), pairs in hits.items():
-        item = it.words[q]
-        need = max(LEAST, int(np.ceil(SHARE * len(item) - 1e-9)))
-        # A place that can hold the share has phrases for at least half of it.
-        if len(item) < LEAST or len({ip for _, ip in pairs}) + PHRASE - 1 < max(PHRASE, need // 3):
-            continue
-        spots = sorted({int(origin[d][p]) for p, _ in pairs})
-        reach = len(item) + GAP
-        groups, cur = [], [spots[0]]
-        for s in spots[1:]:
-            if s - cur[-1] > reach:
-                groups.append(cur)
-                cur = [s]
-            else:
-                cur.append(s)
-        groups.append(cur)
+    for d, q, spots, places in _gathered(it, rep, doc_no, where - begin[doc_no]):
+        item, need, seeds = it.words[q], int(it.need[q]), int(it.seeds[q])
+        spots = origin[d][spots]
+        # A case spans no more than the item's words and the gaps between its stretches, so it lies whole in one of
+        # these windows, each twice as long, that begin one such span after the other.
+        span = len(item) + GAP * (len(item) // 2)
         best = (0, 0, 0)
-        for g in groups:
-            a, b = max(0, g[0] - reach), g[-1] + reach
-            n, first, last = aligned(item, coded[d][a:b])
+        for w in np.unique(np.concatenate((spots // span, np.maximum(spots // span - 1, 0)))):
+            a, b = int(w) * span, (int(w) + 2) * span
+            if len(np.unique(places[(spots >= a) & (spots < b)])) < seeds:
+                continue
+            n, first, last = aligned(item, coded[d][a : b + 1])
             if n > best[0]:
                 best = (n, a + first, a + last)
         if best[0] >= need:

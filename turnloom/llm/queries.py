@@ -9,7 +9,7 @@ from turnloom.llm.leaks import leaks, removal_spans
 from turnloom.llm.mixing import mixture, reached
 from turnloom.llm.names import entities, entity_pairs
 from turnloom.llm.residue import residue
-from turnloom.llm.runs import speaker_runs
+from turnloom.llm.runs import NOBODY, speaker_runs
 from turnloom.llm.sentences import split_sentences
 from turnloom.llm.turns import clean_dialogues, transcript_turns
 from turnloom.runtime import read, spread
@@ -105,4 +105,21 @@ def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p2_found, p2_sentences, p4_found, p4_entities, p6_found, p6_turns, p7_found, p7_utterances, p8_found, p8_spans, p9_mixture, p9_shares, p10_found, p10_kept)}
 
-SQL: dict[str, str] = {}
+# Twins in SQL. Runs are chains of neighbours within one slip there, which is what the optimum comes to wherever the
+# spellings of a run lie within one slip of its commonest; the tests compare the optimum itself with every segmentation.
+_KEY = (
+    r"lower(regexp_replace(regexp_replace(regexp_replace(speaker, '\([^()]*\)|\[[^\[\]]*\]|\{[^{}]*\}|<[^<>]*>|♪+|>>+', ' ', 'g'), "
+    r"'^[\s\x{A0}]*\p{L}[\p{L} ]{1,20}?(?:[\s\x{A0}]+[-–—|]|[\s\x{A0}]*/)[\s\x{A0}]+([^\s\x{A0}])', '\1'), '[^\p{L}\p{M}\p{N}]+', '', 'g'))"
+)
+_NOBODY = ", ".join(f"'{x}'" for x in NOBODY)
+_CLOCK = r"CASE WHEN regexp_full_match(broadcast_time, '\s*\d{1,2}:\d{2}(:\d{2})?\s*') THEN CAST(split_part(trim(broadcast_time), ':', 1) AS BIGINT)*3600 + CAST(split_part(trim(broadcast_time), ':', 2) AS BIGINT)*60 + CAST(coalesce(nullif(split_part(trim(broadcast_time), ':', 3), ''), '0') AS BIGINT) END"
+_P6 = f"""WITH l AS (SELECT *, row_number() OVER (PARTITION BY dialogue_id ORDER BY loaded_at DESC) AS v FROM dialogues),
+e AS (SELECT group_id, CAST(order_index AS BIGINT) AS pos, CASE WHEN {_KEY} NOT IN ({_NOBODY}) THEN {_KEY} END AS key, {_CLOCK} AS s FROM l WHERE v = 1 AND order_index IS NOT NULL AND group_id IS NOT NULL),
+p AS (SELECT *, lag(key) OVER w AS before FROM e WINDOW w AS (PARTITION BY group_id ORDER BY pos, key NULLS FIRST)),
+n AS (SELECT *, CASE WHEN key = before OR (least(length(key), length(before)) > 3 AND damerau_levenshtein(key, before) <= 1) THEN 0 ELSE 1 END AS new FROM p),
+r AS (SELECT *, sum(new) OVER (PARTITION BY group_id ORDER BY pos, key NULLS FIRST ROWS UNBOUNDED PRECEDING) AS run, row_number() OVER (PARTITION BY group_id ORDER BY pos, key NULLS FIRST) AS place FROM n),
+k AS (SELECT group_id, run, key, count(*) AS c FROM r WHERE key IS NOT NULL GROUP BY 1, 2, 3), b AS (SELECT group_id, run, first(key ORDER BY c DESC, key) AS speaker_key FROM k GROUP BY 1, 2),
+g AS (SELECT group_id, run, min(pos) AS first_order, max(pos) AS last_order, count(*) AS n_turns, last(s ORDER BY place) - first(s ORDER BY place) AS d FROM r WHERE key IS NOT NULL GROUP BY 1, 2)
+SELECT g.group_id, first_order, last_order, n_turns, (d % 86400 + 86400) % 86400 AS duration_s, speaker_key FROM g JOIN b USING (group_id, run)"""
+
+SQL: dict[str, str] = {"p6_turns": _P6, "p6_found": f"SELECT * EXCLUDE (speaker_key) FROM ({_P6}) WHERE n_turns >= 2"}

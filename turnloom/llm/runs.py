@@ -152,7 +152,7 @@ def _cell(rows: list[tuple]) -> list[tuple]:
         items = [{"key": k, "first_pos": rows[s][0], "last_pos": rows[e - 1][0], "n": e - s, "first_s": rows[s][2], "last_s": rows[e - 1][2]} for k, s, e in x]
         for i, r in enumerate(_runs_of(items)):
             out.append((at, *r, opens, closes, items if i == 0 and (opens or closes) else None))
-    return out
+    return out or [(0, None, None, 0, None, None, None, False, False, None)]  # nobody speaks here, which parts the cells around
 
 
 def _grouped(rows: DataFrame, keys: list[str], values: list[str], make, schema: str) -> DataFrame:
@@ -184,7 +184,7 @@ def _plain(c: pd.Series) -> list:
 
 def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
     out = pd.DataFrame(rows, columns=names)
-    return out.astype({c: "Int64" for c in ("first_s", "last_s")}) if rows else out
+    return out.astype({c: "Int64" for c in ("first_pos", "last_pos", "first_s", "last_s")}) if rows else out
 
 
 def _joined(held: list[tuple]) -> list[tuple]:
@@ -218,7 +218,7 @@ def collapse_runs(events: DataFrame, cell: int = CELL) -> DataFrame:
     laid = rows.repartition(n, "entity", "cell").sortWithinPartitions("entity", "cell", "pos", "key")
     parts = cut(_grouped(laid, ["entity", "cell"], ["pos", "key", "second"], _cell, _PARTS))
     # Cells meet where their edge stretches might run on; holes may leave cells empty, so the neighbour is the entity's cell before.
-    cells = rows.select("entity", "cell").distinct()
+    cells = parts.select("entity", "cell").distinct()
     order = cells.withColumn("before", F.lag("cell").over(Window.partitionBy("entity").orderBy("cell"))).filter("before is not null")
     edges = parts.filter("items is not null").select("entity", "cell", "at", "opens", "closes", "items")
     left = edges.filter("closes").select("entity", F.col("cell").alias("before"), F.struct("cell", "at").alias("parent"), F.element_at("items", -1)["key"].alias("last_key"))
@@ -226,6 +226,7 @@ def collapse_runs(events: DataFrame, cell: int = CELL) -> DataFrame:
     # Two slips are four letters at most; whether the keys go together is settled when the stretch is solved.
     linked = right.filter(F.levenshtein(F.element_at("items", 1)["key"], F.col("last_key")) <= 4)
     linked = cut(linked.select(F.col("entity").alias("key"), F.struct("cell", "at").alias("node"), "parent"))
+    parts = parts.filter("n > 0")
     done = parts.select("entity", *_RUN)
     if linked.isEmpty():
         return done

@@ -25,6 +25,7 @@ def resolve_roles(dialogues: DataFrame, people: DataFrame) -> DataFrame:
 
 def people_lists(people: DataFrame) -> DataFrame:
     """Candidate speakers of each group as lines of text, in ``row_id`` order."""
+    # The labels of a line.
     known = lambda c: ws_trim(F.coalesce(F.col(c), F.lit("Unknown")))
     line = F.concat(F.lit("- Person: "), ws_trim(F.coalesce("person", F.lit(""))), F.lit(" | Role: "), known("role"), F.lit(" | Context: "), known("context_of_mention"))
     rows = F.array_sort(F.collect_list(F.struct("row_id", line.alias("line"))))

@@ -125,7 +125,7 @@ def test_leaks_match_what_was_planted(spark):
         docs.append((d, " ".join(body)))
     docs += [(900, None), (901, ""), (902, "x")]
     dd = spark.createDataFrame(docs, "doc_id long, text string")
-    ii = spark.createDataFrame([*items, (99, None), (98, "too short")], "item_id long, text string")
+    ii = spark.createDataFrame([*items, (99, None), (98, "too short"), (97, ""), (96, " -- ")], "item_id long, text string")
     found = leaks(dd, ii)
     assert {(r.item_id, r.doc_id) for r in found.collect()} == want
     spans = {r.doc_id: (r.start_pos, r.end_pos) for r in removal_spans(found).collect()}

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnloom.llm.fmindex import FMIndex
+from turnloom.runtime import cut
 
 PHRASE = 2  # words, as many as the shortest stretch that counts
 SHARE = 0.4  # of an item's words, in order and in one place
@@ -31,7 +33,7 @@ COMMON = 20  # items that open with one sentence, which then is stock however la
 GAP = 24  # words between two matching stretches of one place
 SHARD_WORDS = 400_000
 PAIRS = 2_000_000  # places of phrases in items and documents that are matched at a time
-ITEM_BLOCK = 20_000  # items sought per pass over the corpus; what a task holds of them is bounded by this
+ITEM_BLOCK = 20_000  # items sought per pass over the corpus: about what a task, and the driver, hold of them
 
 _TAG = re.compile(r"<!--.*?-->|<[^<>]{0,300}>|&[a-z]{2,8};", re.S | re.I)
 _WORD = re.compile(r"[^\W_]+")
@@ -50,45 +52,47 @@ def sentence_ends(text: str) -> set[int]:
     return {n for n in range(1, len(spans)) if _STOP.search(t, spans[n - 1][1], spans[n][0])}
 
 
-def stock_lengths(items: list[list[str]], ends: list[set[int]], least: int = 5) -> list[int]:
-    """How many opening words of each item are a stock instruction, 0 if none.
+def read_items(items: DataFrame) -> DataFrame:
+    """``item_id, words, stops, prefixes``: the words, after how many of them something new begins, and a hash of the
+    first n words for each n. Null items are left out."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for i, t in zip(b["item_id"], b["text"]):
+                words, digest, prefixes = words_of(t), b"", []
+                for w in words:
+                    digest = blake2b(digest + w.encode(), digest_size=8).digest()
+                    prefixes.append(int.from_bytes(digest, "big", signed=True))
+                rows.append((i, words, sorted(sentence_ends(t)), prefixes))
+            yield pd.DataFrame(rows, columns=["item_id", "words", "stops", "prefixes"])
+
+    good = items.filter("text is not null and item_id is not null").select("item_id", "text")
+    return good.mapInPandas(run, "item_id bigint, words array<string>, stops array<int>, prefixes array<bigint>")
+
+
+def with_stock(read: DataFrame, least: int = 5) -> DataFrame:
+    """Add ``stock``: how many opening words of each item are a stock instruction, 0 if none.
 
     Stock is an opening of ``least`` words or more that ``SEVERAL`` different items share and go on from in as many
     ways, if it is at most ``PART`` of them, or ends a sentence and opens ``COMMON`` items. The longest that ends a
     sentence counts, else the longest. A passage under a few questions, an edited copy and an equal item are no stock.
+    Openings are counted by way before they are counted alone, so one that all items share is no hot key.
     """
-    distinct = sorted({tuple(w) for w in items})
-    depth = dict.fromkeys(distinct, 0)
-    for x, y in zip(distinct, distinct[1:]):
-        n = next((k for k, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
-        depth[x], depth[y] = max(depth[x], n), max(depth[y], n)
-    children: dict[tuple[int, str], int] = {}
-    nodes: list[tuple[set, list[int]]] = [(set(), [])]  # how the items of an opening go on, and their lengths
-    paths: dict[tuple, list[int]] = {}
-    for w in distinct:
-        at, path = 0, []
-        for n in range(depth[w]):
-            at = children.setdefault((at, w[n]), len(nodes))
-            if at == len(nodes):
-                nodes.append((set(), []))
-            nodes[at][0].add(w[n + 1] if n + 1 < len(w) else None)
-            nodes[at][1].append(len(w))
-            path.append(at)
-        paths[w] = path
-    out = []
-    for w, stops in zip(items, ends):
-        any_end = at_end = 0
-        for n, at in enumerate(paths[tuple(w)], 1):
-            ways, sizes = nodes[at]
-            if n < least or len(ways) < SEVERAL:
-                continue
-            small = n <= PART * sum(sizes) / len(sizes)
-            if small:
-                any_end = n
-            if n in stops and (small or len(sizes) >= COMMON):
-                at_end = n
-        out.append(at_end or any_end)
-    return out
+    whole = F.try_element_at("prefixes", F.lit(-1))
+    own = read.filter(F.size("words") >= least).select("item_id", whole.alias("whole"), "stops", "prefixes")
+    opening = F.posexplode(F.slice("prefixes", least, F.size("prefixes"))).alias("k", "p")
+    distinct = own.groupBy("whole").agg(F.first("prefixes").alias("prefixes"))
+    at = distinct.select("prefixes", F.size("prefixes").alias("size"), opening)
+    ways = at.groupBy("p", "k", F.get("prefixes", F.col("k") + least).alias("next")).agg(F.count("*").alias("c"), F.sum("size").alias("s"))
+    shared = ways.groupBy("p", "k").agg(F.count("*").alias("ways"), F.sum("c").alias("c"), F.sum("s").alias("s")).filter(F.col("ways") >= SEVERAL)
+    small = F.col("k") + least <= F.lit(PART) * F.col("s") / F.col("c")
+    met = own.select("item_id", "whole", "stops", opening).join(shared, ["p", "k"])
+    n = F.col("k") + least
+    ends = F.array_contains("stops", n) & (small | (F.col("c") >= COMMON))
+    longest = met.groupBy("item_id", "whole").agg(F.max(F.when(ends, n)).alias("at_end"), F.max(F.when(small, n)).alias("anywhere"))
+    joined = read.withColumn("whole", F.coalesce(whole, F.lit(0))).join(longest, ["item_id", "whole"], "left")
+    return joined.select("item_id", "words", F.coalesce("at_end", "anywhere", F.lit(0)).alias("stock"))
 
 
 def aligned(item: np.ndarray, doc: np.ndarray) -> tuple[int, int, int]:
@@ -251,14 +255,14 @@ def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     letter case, punctuation, tags or table layout. Null, empty and very short items or texts give no case.
     """
     spark = documents.sparkSession
-    rows = [(r[0], words_of(r[1]), sentence_ends(r[1])) for r in items.filter("text is not null and item_id is not null").select("item_id", "text").toLocalIterator()]
-    rows.sort(key=lambda r: r[0])
-    stock = stock_lengths([w for _, w, _ in rows], [e for _, _, e in rows])
-    full = [(i, w, s if s < len(w) else 0) for (i, w, _), s in zip(rows, stock)]
+    known = cut(with_stock(cut(read_items(items))))
+    blocks = -(-known.count() // ITEM_BLOCK)
     docs = documents.filter("text is not null").select("doc_id", "text")
     found = None
-    for k in range(0, len(full), ITEM_BLOCK):
-        held = spark.sparkContext.broadcast(full[k : k + ITEM_BLOCK])  # at most ITEM_BLOCK items
+    for k in range(blocks):
+        # One block at a time passes through the driver; blocks are of about ITEM_BLOCK items however many there are.
+        part = known.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).select("item_id", "words", "stock").collect()
+        held = spark.sparkContext.broadcast(sorted((r[0], list(r[1]), r[2] if r[2] < len(r[1]) else 0) for r in part))
 
         def run(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
             it = _Items(held.value)
@@ -279,8 +283,8 @@ def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
                         shard, coded, total = [], [], 0
             yield pd.DataFrame(_search_shard(shard, coded, it), columns=_COLUMNS)
 
-        part = docs.mapInPandas(run, _SCHEMA)
-        found = part if found is None else found.unionByName(part)
+        of_block = docs.mapInPandas(run, _SCHEMA)
+        found = of_block if found is None else found.unionByName(of_block)
     return found if found is not None else spark.createDataFrame([], _SCHEMA)
 
 

@@ -38,6 +38,8 @@ def merges(groups: DataFrame, dialogues: DataFrame) -> DataFrame:
 def stitch(groups: DataFrame, dialogues: DataFrame) -> DataFrame:
     """Dialogues after merging: targets carry the joined text, sources are gone."""
     m = merges(groups, dialogues)
-    kept = dialogues.join(m.select(F.col("source").alias("dialogue_id")), "dialogue_id", "left_anti")
-    changed = kept.join(m.select(F.col("target").alias("dialogue_id"), F.col("text").alias("__t")), "dialogue_id", "left")
-    return changed.withColumn("dialogue", F.coalesce("__t", "dialogue")).select(*dialogues.columns)
+    gone = F.struct(F.col("source").alias("dialogue_id"), F.lit(None).cast("string").alias("__t"), F.lit(True).alias("__gone"))
+    grown = F.struct(F.col("target").alias("dialogue_id"), F.col("text").alias("__t"), F.lit(False).alias("__gone"))
+    both = m.select(F.inline(F.array(gone, grown)))  # a turn is merged away or grows, never both
+    done = dialogues.join(both, "dialogue_id", "left").filter(~F.coalesce("__gone", F.lit(False)))
+    return done.withColumn("dialogue", F.coalesce("__t", "dialogue")).select(*dialogues.columns)

@@ -115,13 +115,13 @@ def parallelism(spark: SparkSession, least: int = 8) -> int:
     return max(least, 2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out evenly where a scan has fewer partitions than the cluster has cores.
+def spread(df: DataFrame, times: int = 2) -> DataFrame:
+    """Deal rows out evenly where a scan has fewer partitions than ``times`` the cluster's cores.
 
     Text work is bound by the CPU, and one compressed file split may hold hundreds of megabytes of text. Large
     inputs already have more splits than that and pass through unchanged.
     """
     sc = df.sparkSession.sparkContext
-    if df.rdd.getNumPartitions() >= 2 * sc.defaultParallelism:
+    if df.rdd.getNumPartitions() >= times * sc.defaultParallelism:
         return df
     return df.repartition(parallelism(df.sparkSession))

@@ -59,14 +59,15 @@ def p6_turns(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
-    docs = read(spark, sf, "documents").select("doc_id", "text", "source", "page_id", "page_title")
+    # Scanned several times with little work: dealt out only where there are fewer splits than cores.
+    docs = spread(read(spark, sf, "documents").select("doc_id", "text", "source", "page_id", "page_title"), 1)
     return residue(docs).select("doc_id")
 
 
 def p10_kept(spark: SparkSession, sf: str) -> DataFrame:
     """The documents left after exclusion, by source."""
     docs = read(spark, sf, "documents")
-    out = residue(docs.select("doc_id", "text", "source", "page_id", "page_title"))
+    out = residue(spread(docs.select("doc_id", "text", "source", "page_id", "page_title"), 1))
     return docs.join(out, "doc_id", "left_anti").groupBy("source").agg(F.count("*").alias("n_documents"), F.sum("n_chars").alias("n_chars"))
 
 
